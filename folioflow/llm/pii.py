@@ -77,21 +77,22 @@ def _valid(kind: str, m: Column) -> Column:
     return F.lit(True)
 
 
-def _matches(text: Column, kind: str, pattern: str) -> Column:
-    """array<struct<s,e,m>>: the matches with their offsets, from the gaps between them."""
+def _found(text: Column, kind: str, pattern: str) -> Column:
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    gaps = F.split(text, pattern, -1)
-    pairs = F.arrays_zip(F.transform(F.slice(gaps, 1, F.size(found)), F.length).alias("g"), found.alias("m"))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<s:int,e:int,m:string>>").alias("out"))
+    return F.when(F.contains(text, F.lit(HINTS[kind])), found).otherwise(F.array().cast("array<string>")) if kind in HINTS and pattern == BASE[kind] else found
+
+
+def _matches(text: Column, found: Column, pattern: str) -> Column:
+    """array<struct<s,e,m>>: the matches with their offsets, from the gaps between them."""
+    pairs = F.arrays_zip(F.transform(F.slice(F.split(text, pattern, -1), F.lit(1), F.size(found)), F.length).alias("g"), found.alias("m"))
+    none = F.array().cast("array<struct<s:int,e:int,m:string>>")
 
     def step(acc: Column, x: Column) -> Column:
         s = acc["at"] + x["g"]
         e = s + F.length(x["m"])
         return F.struct(e.alias("at"), F.concat(acc["out"], F.array(F.struct(s.alias("s"), e.alias("e"), x["m"].alias("m")))).alias("out"))
 
-    none = F.array().cast("array<struct<s:int,e:int,m:string>>")
-    folded = F.when(F.size(found) > 0, F.aggregate(pairs, start, step)["out"]).otherwise(none)
-    return F.when(F.contains(text, F.lit(HINTS[kind])), folded).otherwise(none) if kind in HINTS and pattern == BASE[kind] else folded
+    return F.when(F.size(found) > 0, F.aggregate(pairs, F.struct(F.lit(0).alias("at"), none.alias("out")), step)["out"]).otherwise(none)
 
 
 def _votes(text: Column, kind: str, x: Column, base: bool) -> Column:
@@ -110,22 +111,24 @@ def _votes(text: Column, kind: str, x: Column, base: bool) -> Column:
     return F.array(F.lit(1 if base else 0), say(known), say(before.rlike(TELLING[kind]), before.rlike(MISLEADING)), say(usual, ~usual), F.when(touches, -1).otherwise(1))
 
 
-def candidates(text: Column) -> Column:
-    """All proposed spans of a text with their votes: the base ones, then loose ones that overlap none of them."""
-
-    def spans(kind: str, pattern: str, base: bool) -> Column:
-        found = _matches(text, kind, pattern)
-        valid = F.filter(found, lambda x: _valid(kind, x["m"])) if base else found
-        return F.transform(valid, lambda x: F.struct(F.lit(kind).alias("kind"), F.lit(KINDS.index(kind)).alias("k"), x["s"].alias("s"), x["e"].alias("e"), F.lit(base).alias("base"), _votes(text, kind, x, base).alias("votes"))).cast(SPAN)
-
-    return F.concat(*[spans(k, BASE[k], True) for k in KINDS]), F.concat(*[spans(k, LOOSE[k], False) for k in LOOSE])
-
-
 def propose(docs: DataFrame, text: str = "text") -> DataFrame:
-    base, loose = candidates(F.col("_t"))
-    rows = docs.withColumn("_t", text_of(F.col(text))).withColumn("_base", base).withColumn("_loose", loose)
+    """docs with spans: all proposed spans with their votes, the base ones first, then loose ones that overlap none of them."""
+    patterns = [(k, BASE[k], True) for k in KINDS] + [(k, LOOSE[k], False) for k in LOOSE]
+    t = F.col("_t")
+    rows = docs.withColumn("_t", text_of(F.col(text)))
+    # one projection after another, so that each pattern runs once for a text
+    rows = rows.withColumns({f"_f{i}": _found(t, k, p) for i, (k, p, _) in enumerate(patterns)})
+    rows = rows.withColumns({f"_m{i}": _matches(t, F.col(f"_f{i}"), p) for i, (k, p, _) in enumerate(patterns)}).drop(*[f"_f{i}" for i in range(len(patterns))])
+
+    def spans(i: int, kind: str, base: bool) -> Column:
+        valid = F.filter(f"_m{i}", lambda x: _valid(kind, x["m"])) if base else F.col(f"_m{i}")
+        voted = F.transform(valid, lambda x: F.struct(F.lit(kind).alias("kind"), F.lit(KINDS.index(kind)).alias("k"), x["s"].alias("s"), x["e"].alias("e"), F.lit(base).alias("base"), _votes(t, kind, x, base).alias("votes")))
+        return F.when(F.size(f"_m{i}") > 0, voted.cast(SPAN)).otherwise(F.array().cast(SPAN))
+
+    for name, of in (("_base", True), ("_loose", False)):
+        rows = rows.withColumn(name, F.concat(*[spans(i, k, b) for i, (k, _, b) in enumerate(patterns) if b == of]))
     apart = F.filter("_loose", lambda x: ~F.exists("_base", lambda b: (b["s"] < x["e"]) & (x["s"] < b["e"])))
-    return rows.withColumn("spans", F.concat("_base", apart)).drop("_t", "_base", "_loose")
+    return rows.withColumn("spans", F.concat("_base", apart)).select(*docs.columns, "spans")
 
 
 def reliabilities(patterns: list[tuple[tuple[str, tuple[int, ...]], int]], rounds: int = 50) -> tuple[dict, list[dict[int, tuple[float, float]]]]:

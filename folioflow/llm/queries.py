@@ -6,10 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import digest, lines, pii
+from . import bpe, digest, lines, phrases, pii, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_line_dedup": lines.op3_line_dedup,
+    "op4_bpe": bpe.op4_bpe,
+    "op7_decontamination": phrases.op7_decontamination,
+    "op8_toxicity": toxicity.op8_toxicity,
     "op9_pii": pii.op9_pii,
     "op10_fingerprints": digest.op10_fingerprints,
 }
