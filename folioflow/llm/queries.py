@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, digest, lines, phrases, pii, toxicity
+from . import bpe, digest, lines, phrases, pii, simhash, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_line_dedup": lines.op3_line_dedup,
     "op4_bpe": bpe.op4_bpe,
+    "op5_simhash": simhash.op5_simhash,
     "op7_decontamination": phrases.op7_decontamination,
     "op8_toxicity": toxicity.op8_toxicity,
     "op9_pii": pii.op9_pii,
