@@ -1,30 +1,86 @@
-"""The corpus pipeline: five stages over documents, each written as Parquet and read again by the next."""
+"""The corpus pipeline: five stages over documents, each written as Parquet and read again by the next.
+
+Every stage sees all that its predecessor kept, and its decisions take effect: toxic documents go, boilerplate lines are
+cut, one document of each near-duplicate group stays, contaminated documents go, and the last stage encodes what is left.
+All but the last return the columns of documents; n_chars follows a changed text.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from folioflow.llm import lines
-from folioflow.llm.common import stored
+from folioflow.llm import bpe, lines, phrases, simhash, toxicity
+from folioflow.llm.common import stored, table
 from folioflow.session import ship
 
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+
+def _shipped(stage: Stage) -> Stage:
+    @wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        ship(spark)
+        return stage(spark, docs, sf_dir)
+
+    return run
+
+
+@_shipped
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose expected severity reaches the cut go."""
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    scored = toxicity.score(docs, model)
+    return scored.filter(~F.col(scored.columns[-1])).select(*docs.columns)
+
+
+@_shipped
+def drop_boilerplate_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Lines that exceed the boilerplate ratio of their source go; all documents stay, if only with an empty text."""
+    out = lines.drop_boilerplate(docs, counts=True)
+    n_chars = F.when(F.col("n_dropped") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
+    return out.withColumn("n_chars", n_chars).select(*docs.columns)
+
+
+@_shipped
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near-duplicates the document with the smallest doc_id stays (null last, the first row on ties)."""
+    numbered = stored(docs.select(*docs.columns, F.monotonically_increasing_id().alias("_row")))
+    ranked = numbered.select("text", F.struct(F.col("doc_id").isNull().alias("unnamed"), F.col("doc_id"), F.col("_row")).alias("name"))
+    prints = stored(simhash.fingerprints(ranked, "name"))
+    copies = simhash.groups(prints, "name").filter("name <> component_id").select(F.col("name._row").alias("_row"))
+    return numbered.join(copies, "_row", "left_anti").select(*docs.columns)
+
+
+@_shipped
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that benchmark passages cover by a twentieth or more go."""
+    numbered = stored(docs.select(*docs.columns, F.monotonically_increasing_id().alias("_row")))
+    found = phrases.contamination(numbered, table(spark, sf_dir, "benchmark"), key="_row").filter("contaminated").select("_row")
+    return numbered.join(found, "_row", "left_anti").select(*docs.columns)
 
-def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Boilerplate lines of a source go; a document that had a text and has none left goes too."""
-    from pyspark.sql import functions as F
 
-    out = lines.drop_boilerplate(docs, counts=True).filter("n_dropped = 0 OR length(text) > 0")
-    return out.withColumn("n_chars", F.when(F.col("n_dropped") > 0, F.length("text")).otherwise(F.col("n_chars")).cast("long")).select(*docs.columns)
+@_shipped
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return bpe.encode_documents(docs)
 
 
-STAGES = [("line_dedup", line_dedup)]
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("line_dedup", drop_boilerplate_lines),
+    ("simhash_near_dedup", drop_near_duplicates),
+    ("decontamination", drop_contaminated),
+    ("bpe_encoding", encode),
+]
+#: Hash functions and the vocabulary aren't SQL's; tests hold run() against plain Python.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ship(spark)
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for i, (_, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        docs = docs if i == len(STAGES) - 1 else stored(docs)
-    return docs
+    docs = table(spark, sf_dir, "documents")
+    for _, stage in STAGES[:-1]:
+        docs = stored(stage(spark, docs, sf_dir))
+    return STAGES[-1][1](spark, docs, sf_dir)
