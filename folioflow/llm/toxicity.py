@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from .common import table, text_of
 
-SAMPLE, MIN_DOCS, MIN_LIFT, MIN_CHI2, MAX_WORDS, CUT = 10_000, 5, 3.0, 20.0, 2_000, 0.5
+SAMPLE, MIN_DOCS, MIN_LIFT, MIN_CHI2, MAX_WORDS, CUT = 10_000, 5, 3.0, 20.0, 2_000, 0.25
 #: Separators of words: what is neither a letter nor a digit of ASCII nor beyond ASCII.
 _BLANK = "".join(chr(i) for i in range(128) if not chr(i).isalnum())
 _TO_BLANK = {ord(c): " " for c in _BLANK} | {i: chr(i + 32) for i in range(65, 91)}
@@ -64,7 +64,7 @@ def telling_words(rows: DataFrame) -> list[str]:
     return [r["word"] for r in best.orderBy(F.desc("chi2"), "word").limit(MAX_WORDS).collect()]
 
 
-def fit_ordinal(x: np.ndarray, grade: np.ndarray, rounds: int = 1500, rate: float = 0.05, ridge: float = 1e-3) -> tuple[np.ndarray, tuple[float, float]]:
+def fit_ordinal(x: np.ndarray, grade: np.ndarray, rounds: int = 3000, rate: float = 0.05, ridge: float = 1e-5) -> tuple[np.ndarray, tuple[float, float]]:
     """Full-batch Adam on the cumulative logits; thresholds are t and t + exp(g), so they stay ordered."""
     n, k = x.shape
     p = np.concatenate([np.zeros(k), [1.0, 0.0]])
