@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from .blobs import pack, pack_sorted, slices, unpack, unpack_sorted
 from .common import stored, table, work_dir
 
-LENGTH, GRAM, CHUNK_BYTES, ANCHORS_A_BUCKET, BYTES_A_SHARD, HOT = 50, 26, 8_000_000, 1_500_000, 12_000_000, 50_000
+LENGTH, GRAM, CHUNK_BYTES, ANCHORS_A_BUCKET, BYTES_A_SHARD, HOT = 50, 26, 4_000_000, 1_000_000, 5_000_000, 50_000
 SEP, NONE = 0xFF, np.iinfo(np.int64).max  # no UTF-8 text holds this byte
 
 
@@ -143,13 +143,15 @@ def gram_hashes(w: np.ndarray, at: np.ndarray | slice) -> np.ndarray:
         return w[k : len(w) - GRAM + 8 + k] if isinstance(at, slice) else w[at + k]
 
     h = word(0) * np.uint64(0x9E3779B97F4A7C15)
+    spare = np.empty_like(h)
     for k in (8, 16, GRAM - 8):
-        h ^= h >> np.uint64(32)
+        h ^= np.right_shift(h, np.uint64(32), out=spare)
         h += word(k)
         h *= np.uint64(0xBF58476D1CE4E5B9)
-    h ^= h >> np.uint64(29)
+    h ^= np.right_shift(h, np.uint64(29), out=spare)
     h *= np.uint64(0x94D049BB133111EB)
-    return h ^ h >> np.uint64(32)
+    h ^= np.right_shift(h, np.uint64(32), out=spare)
+    return h
 
 
 def minimizers(text: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -159,18 +161,24 @@ def minimizers(text: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.nd
     empty = np.zeros(0, np.int64)
     if not windows.sum():
         return empty, empty, empty
-    h = gram_hashes(words8(text), slice(None))
-    v = (h & ~np.uint64(0xFFFFFF)) | np.arange(len(h), dtype=np.uint64)
+    v = gram_hashes(words8(text), slice(None))
+    v &= ~np.uint64(0xFFFFFF)
+    v |= np.arange(len(v), dtype=np.uint64)
     span, done = LENGTH - GRAM + 1, 1
     while done * 2 <= span:
         v = np.minimum(v[:-done], v[done:])
         done *= 2
     if span > done:
         v = np.minimum(v[: len(v) - (span - done)], v[span - done :])
-    starts = np.repeat(begins - np.concatenate([[0], np.cumsum(windows)[:-1]]), windows) + np.arange(windows.sum())
-    place = (v[starts] & np.uint64(0xFFFFFF)).astype(np.int64)
-    new = np.flatnonzero(np.concatenate([[True], (place[1:] != place[:-1])]))
-    return place[new], starts[new], np.diff(np.append(new, len(place)))
+    inside = np.zeros(len(v), bool)
+    for b, n in zip(begins.tolist(), windows.tolist(), strict=True):
+        inside[b : b + n] = True
+    v &= np.uint64(0xFFFFFF)
+    head = inside.copy()
+    head[1:] &= (v[1:] != v[:-1]) | ~inside[:-1]
+    first = np.flatnonzero(head)
+    stop = np.flatnonzero(inside & np.concatenate([head[1:] | ~inside[1:], [True]])) + 1
+    return v[first].astype(np.int64), first, stop - first
 
 
 def _bucketed(df: DataFrame, n: int) -> DataFrame:
@@ -221,14 +229,16 @@ class Chunk:
         self.doc = np.searchsorted(self.begins, self.first, "right") - 1
         padded = np.concatenate([np.frombuffer(self.data, np.uint8), np.zeros(GRAM, np.uint8)])
         self.hashes = gram_hashes(words8(padded), self.place) >> np.uint64(12) if len(self.place) else np.zeros(0, np.uint64)
+        self.uniq, self.inverse = np.unique(self.hashes, return_inverse=True)
 
-    def sends(self, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Distinct hashes of minimizers, sorted; on how many documents each stands; its bucket (which rises with it)."""
-        uniq, inverse = np.unique(self.hashes, return_inverse=True)
-        pairs = np.unique(inverse * np.int64(len(self.keys)) + self.doc)
-        docs = np.bincount(pairs // max(len(self.keys), 1), minlength=len(uniq)).astype(np.uint32)
-        self.inverse = inverse
-        return uniq, docs, (uniq * np.uint64(n) >> np.uint64(52)).astype(np.int64)
+    def buckets(self, n: int) -> np.ndarray:
+        """The bucket of each distinct hash, rising with it."""
+        return (self.uniq * np.uint64(n) >> np.uint64(52)).astype(np.int64)
+
+    def documents(self) -> np.ndarray:
+        """On how many documents each distinct hash stands."""
+        pairs = np.unique(self.inverse * np.int64(len(self.keys)) + self.doc)
+        return np.bincount(pairs // max(len(self.keys), 1), minlength=len(self.uniq)).astype(np.uint32)
 
     def stretches(self, flags: np.ndarray, n: int) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Distinct stretches with smallest key and shard, in the order of shards; and of each piece: its stretch, first window, document."""
@@ -266,8 +276,9 @@ def shared_minimizers(coded: DataFrame, n: int) -> DataFrame:
     def send(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             for i in range(len(b)):
-                uniq, docs, bucket = Chunk(b.iloc[i]).sends(n)
-                yield pd.DataFrame([(k, int(b["chunk"].iloc[i]), pack_sorted(uniq[s]), pack(docs[s])) for k, s in slices(bucket)], columns=["bucket", "chunk", "hashes", "docs"])
+                c = Chunk(b.iloc[i])
+                docs = c.documents()
+                yield pd.DataFrame([(k, int(b["chunk"].iloc[i]), pack_sorted(c.uniq[s]), pack(docs[s])) for k, s in slices(c.buckets(n))], columns=["bucket", "chunk", "hashes", "docs"])
 
     def merge(pdf: pd.DataFrame) -> pd.DataFrame:
         lists = [unpack_sorted(x) for x in pdf["hashes"]]
@@ -285,9 +296,8 @@ def shared_minimizers(coded: DataFrame, n: int) -> DataFrame:
 
 
 def _flags(chunk: Chunk, answers: pd.DataFrame, n: int) -> np.ndarray:
-    uniq, _, bucket = chunk.sends(n)
-    got, flags = dict(zip(answers["bucket"], answers["flags"], strict=True)), np.zeros(len(uniq), np.uint8)
-    for k, s in slices(bucket):
+    got, flags = dict(zip(answers["bucket"], answers["flags"], strict=True)), np.zeros(len(chunk.uniq), np.uint8)
+    for k, s in slices(chunk.buckets(n)):
         flags[s] = unpack(got[k])
     return flags
 
