@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .common import table
 
 #: Most states of the transducer, and most pieces and words remembered with their ids, in each Python worker.
-MAX_STATES, MAX_PIECES, MAX_WORDS = 100_000, 100_000, 400_000
+MAX_STATES, MAX_PIECES, MAX_WORDS = 150_000, 500_000, 500_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
