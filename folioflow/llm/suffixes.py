@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from .blobs import pack, pack_sorted, slices, unpack, unpack_sorted
 from .common import stored, table, work_dir
 
-LENGTH, GRAM, CHUNK_BYTES, ANCHORS_A_BUCKET, BYTES_A_SHARD, HOT = 50, 26, 4_000_000, 1_000_000, 5_000_000, 50_000
+LENGTH, GRAM, CHUNK_BYTES, ANCHORS_A_BUCKET, BYTES_A_SHARD, HOT = 50, 26, 2_500_000, 600_000, 3_000_000, 50_000
 SEP, NONE = 0xFF, np.iinfo(np.int64).max  # no UTF-8 text holds this byte
 
 
