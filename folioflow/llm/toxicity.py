@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table, text_of
+from .common import stored, table, text_of
 
 SAMPLE, MIN_DOCS, MIN_LIFT, MIN_CHI2, MAX_WORDS, CUT = 10_000, 5, 3.0, 20.0, 2_000, 0.25
 #: Separators of words: what is neither a letter nor a digit of ASCII nor beyond ASCII.
@@ -47,7 +47,9 @@ def sample(docs: DataFrame, labels: DataFrame, limit: int = SAMPLE) -> DataFrame
     """doc_id, toxic and the word set of at most ``limit`` labelled documents; the chosen ids alone are broadcast."""
     known = labels.filter("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
-    return docs.select("doc_id", word_set(text_of()).alias("words")).join(F.broadcast(chosen), "doc_id")
+    # the join comes first, and the result is stored: words are taken of the sample only, and once
+    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    return stored(rows.select("doc_id", "toxic", word_set(text_of()).alias("words")))
 
 
 def telling_words(rows: DataFrame) -> list[str]:
