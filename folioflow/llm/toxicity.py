@@ -17,6 +17,7 @@ rows; an empty table gives an empty result; other columns pass through ``score``
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -27,7 +28,7 @@ from pyspark.sql import functions as F
 
 from .common import stored, table, text_of
 
-SAMPLE, MIN_DOCS, MIN_LIFT, MIN_CHI2, MAX_WORDS, CUT = 10_000, 5, 3.0, 20.0, 2_000, 0.25
+SAMPLE, MIN_DOCS, MIN_LIFT, MIN_CHI2, MAX_WORDS, CUT = 10_000, 5, 3.0, 20.0, 2_000, 0.5
 #: Separators of words: what is neither a letter nor a digit of ASCII nor beyond ASCII.
 _BLANK = "".join(chr(i) for i in range(128) if not chr(i).isalnum())
 _TO_BLANK = {ord(c): " " for c in _BLANK} | {i: chr(i + 32) for i in range(65, 91)}
@@ -66,23 +67,29 @@ def telling_words(rows: DataFrame) -> list[str]:
     return [r["word"] for r in best.orderBy(F.desc("chi2"), "word").limit(MAX_WORDS).collect()]
 
 
-def fit_ordinal(x: np.ndarray, grade: np.ndarray, rounds: int = 3000, rate: float = 0.05, ridge: float = 1e-5) -> tuple[np.ndarray, tuple[float, float]]:
-    """Full-batch Adam on the cumulative logits; thresholds are t and t + exp(g), so they stay ordered."""
-    n, k = x.shape
+def fit_ordinal(features: list[tuple[int, ...]], grade: np.ndarray, k: int, rounds: int = 3000, rate: float = 0.05, ridge: float = 1e-5) -> tuple[np.ndarray, tuple[float, float]]:
+    """Full-batch Adam on the cumulative logits; thresholds are t and t + exp(g), so they stay ordered.
+
+    features: of each document the numbers of its words, of k. Documents alike in words and grade are one row.
+    """
+    alike = Counter(zip(features, grade.tolist(), strict=True))
+    share = np.array(list(alike.values()), float) / max(1, len(grade))
+    grade = np.array([g for _, g in alike])
+    cols = np.array([c for f, _ in alike for c in f], np.int64)
+    row = np.repeat(np.arange(len(alike)), [len(f) for f, _ in alike])
     p = np.concatenate([np.zeros(k), [1.0, 0.0]])
     m, v = np.zeros(k + 2), np.zeros(k + 2)
     y1, y2 = grade > 0, grade > 1
     for i in range(1, rounds + 1):
-        z = x @ p[:k]
+        z = np.bincount(row, p[cols], len(alike))
         t1, t2 = p[k], p[k] + np.exp(p[k + 1])
         s1, s2 = (1 / (1 + np.exp(np.clip(t - z, -50, 50))) for t in (t1, t2))  # P(grade > 0), P(grade > 1)
         lower, upper = np.where(y2, s2, np.where(y1, s1, 1.0)), np.where(y2, 0.0, np.where(y1, s2, s1))
         prob = np.maximum(lower - upper, 1e-12)
-        dl, du = np.where(y1, lower * (1 - lower), 0.0) / prob, upper * (1 - upper) / prob
-        dz = -(dl - du) / n
-        d1 = np.where(~y1, -du, np.where(~y2, dl, 0.0)).sum() / n
-        d2 = np.where(y2, dl, np.where(y1, -du, 0.0)).sum() / n
-        g = np.concatenate([x.T @ dz + ridge * p[:k], [d1 + d2, d2 * (t2 - t1)]])
+        dl, du = np.where(y1, lower * (1 - lower), 0.0) / prob * share, upper * (1 - upper) / prob * share
+        d1 = np.where(~y1, -du, np.where(~y2, dl, 0.0)).sum()
+        d2 = np.where(y2, dl, np.where(y1, -du, 0.0)).sum()
+        g = np.concatenate([np.bincount(cols, (du - dl)[row], k) + ridge * p[:k], [d1 + d2, d2 * (t2 - t1)]])
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         p = p - rate * (m / (1 - 0.9**i)) / (np.sqrt(v / (1 - 0.999**i)) + 1e-9)
     return p[:k], (float(p[k]), float(p[k] + np.exp(p[k + 1])))
@@ -95,12 +102,10 @@ def fit(docs: DataFrame, labels: DataFrame, limit: int = SAMPLE) -> Model:
         return Model({}, (50.0, 51.0))
     place = {w: i for i, w in enumerate(words)}
     got = rows.select("doc_id", "toxic", F.array_intersect("words", F.lit(words)).alias("w")).orderBy("doc_id").collect()  # at most SAMPLE rows of MAX_WORDS words
-    x = np.zeros((len(got), len(words)), np.float32)
-    for i, r in enumerate(got):
-        x[i, [place[w] for w in r["w"]]] = 1
-    toxic, hits = np.array([r["toxic"] for r in got]), x.sum(axis=1)
+    features = [tuple(sorted(place[w] for w in r["w"])) for r in got]
+    toxic, hits = np.array([r["toxic"] for r in got]), np.array([len(f) for f in features])
     severe = max(2.0, float(np.median(hits[toxic == 1]))) if (toxic == 1).any() else 2.0
-    w, thresholds = fit_ordinal(x.astype(float), np.where(toxic == 1, np.where(hits >= severe, 2, 1), 0))
+    w, thresholds = fit_ordinal(features, np.where(toxic == 1, np.where(hits >= severe, 2, 1), 0), len(words))
     return Model(dict(zip(words, map(float, w), strict=True)), thresholds)
 
 
