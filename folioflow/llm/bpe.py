@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .common import table
 
 #: Most states of the transducer, and most pieces and words remembered with their ids, in each Python worker.
-MAX_STATES, MAX_PIECES, MAX_WORDS = 150_000, 500_000, 500_000
+MAX_STATES, MAX_PIECES, MAX_WORDS = 300_000, 700_000, 700_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -76,7 +76,8 @@ class Transducer:
         #: A state: one (trie node, last token or -1, tokens not yet emitted) for each live prefix, oldest first.
         start = ((0, -1, ()),)
         self.ids, self.states = {start: 0}, [start]
-        self.arcs: list[dict[int, tuple[int, tuple[int, ...]]]] = [{}]
+        #: state << 8 | byte -> (next state << 8, tokens)
+        self.arcs: dict[int, tuple[int, tuple[int, ...]]] = {}
         self.final: list[tuple[int, ...] | None] = [()]
 
     def halves(self, token: int) -> tuple[int, int]:
@@ -143,21 +144,20 @@ class Transducer:
         if to is None:
             to = self.ids[key] = len(self.states)
             self.states.append(key)
-            self.arcs.append({})
             self.final.append(key[-1][2])
-        self.arcs[state][byte] = (to, out)
-        return to, out
+        arc = self.arcs[state << 8 | byte] = (to << 8, out)
+        return arc
 
     def run(self, piece: bytes) -> list[int]:
         """The ids of a piece, without the rule for whole entries."""
         if len(self.states) > MAX_STATES:
             self._reset()
-        state, out, arcs = 0, [], self.arcs
+        at, out, known = 0, [], self.arcs.get
         for byte in piece:
-            state, got = arcs[state].get(byte) or self._arc(state, byte)
+            at, got = known(at | byte) or self._arc(at >> 8, byte)
             if got:
                 out += got
-        out += self.final[state]
+        out += self.final[at >> 8]
         return out
 
     def encode_piece(self, piece: bytes) -> list[int]:
