@@ -54,7 +54,7 @@ def suffix_array(text: np.ndarray) -> np.ndarray:
     if n == 0:
         return np.zeros(0, np.int64)
     first = words8(text, ">").astype(np.uint64)
-    sa = np.argsort(first, kind="stable")
+    sa = np.argsort(first)  # the order of ties doesn't matter: they are one group, to be refined
     head = np.flatnonzero(np.concatenate([[True], first[sa[1:]] != first[sa[:-1]]]))
     del first
     rank = np.empty(n + 1, np.int64)
@@ -71,7 +71,7 @@ def suffix_array(text: np.ndarray) -> np.ndarray:
         over = s + depth - n  # behind the end there is less than any byte, and a shorter suffix comes first
         nxt = np.where(over > 0, -over, rank[np.minimum(s + depth, n)]) + 2 * depth
         key = rank[s] * np.int64(n + 1 + 2 * depth) + nxt
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)
         s, key = s[order], key[order]
         sa[at] = s
         new = np.concatenate([[True], key[1:] != key[:-1]])
