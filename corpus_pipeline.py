@@ -13,7 +13,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioflow.llm import bpe, lines, phrases, simhash, toxicity
+from folioflow.llm import bpe, jaccard, lines, phrases, toxicity
 from folioflow.llm.common import stored, table
 from folioflow.session import ship
 
@@ -47,11 +47,10 @@ def drop_boilerplate_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 @_shipped
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates the document with the smallest doc_id stays (null last, the first row on ties)."""
+    """Of each group of near-duplicates (five-word shingles, Jaccard similarity 0.8 or more) the document with the smallest doc_id stays (null last, the first row on ties)."""
     numbered = stored(docs.select(*docs.columns, F.monotonically_increasing_id().alias("_row")))
-    ranked = numbered.select("text", F.struct(F.col("doc_id").isNull().alias("unnamed"), F.col("doc_id"), F.col("_row")).alias("name"))
-    prints = stored(simhash.fingerprints(ranked, "name"))
-    copies = simhash.groups(prints, "name").filter("name <> component_id").select(F.col("name._row").alias("_row"))
+    ranked = numbered.select("text", "_row", F.struct(F.col("doc_id").isNull().alias("unnamed"), F.col("doc_id"), F.col("_row")).alias("name"))
+    copies = jaccard.groups(ranked, "_row", "name").filter("name <> component_id").select("_row")
     return numbered.join(copies, "_row", "left_anti").select(*docs.columns)
 
 

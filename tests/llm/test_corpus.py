@@ -12,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from folioflow.llm import bpe, digest, katz, lines, phrases, pii, simhash, suffixes, toxicity, warc
+from folioflow.llm import bpe, digest, jaccard, katz, lines, phrases, pii, simhash, suffixes, toxicity, warc
 
 RNG = random.Random(11)
 WORDS = ["alpha", "Beta", "gamma,", "delta", "éta", "zêta.", "漢字", "x1", "9", "the", "of", "and"]
@@ -159,6 +159,37 @@ def test_simhash_groups(spark):
             simhash.links.__defaults__ = kept
 
 
+@pytest.mark.parametrize("wide", [8, 0])
+def test_near_duplicates_of_the_pipeline(spark, wide, monkeypatch):
+    monkeypatch.setattr(jaccard, "WIDE", wide)  # 0: by leaders first
+    monkeypatch.setattr(jaccard, "SAMPLE", 20)
+    rng, texts = random.Random(5), [None, "", " ", "one", "One"]
+    passage = " ".join(f"p{i}" for i in range(20))
+    for base in range(12):
+        ws = [f"w{rng.randrange(40)}" for _ in range(rng.randint(4, 150))]
+        for _ in range(8):
+            new = list(ws)
+            for _ in range(rng.randint(0, 6)):
+                new[rng.randrange(len(new))] = f"x{rng.randrange(10**6)}"
+            texts.append(" ".join(new) + (f" {passage}" if base % 3 == 0 else ""))
+    sets = [set((w := (t or "").lower().split()) and [tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))]) for t in texts]
+    parent = list(range(len(texts)))
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i in range(len(texts)):
+        for j in range(i):
+            if 10 * len(sets[i] & sets[j]) >= 8 * len(sets[i] | sets[j]):
+                a, b = sorted((find(i), find(j)))
+                parent[b] = a
+    rows = spark.createDataFrame([(i, t, "s", "en", 1) for i, t in enumerate(texts)], "doc_id long, text string, source string, lang string, n_chars long").repartition(3)
+    kept = corpus_pipeline.drop_near_duplicates(spark, rows, "")
+    assert sorted(r["doc_id"] for r in kept.collect()) == sorted({find(i) for i in range(len(texts))})
+
+
 def test_fingerprints_of_odd_texts(docs):
     got = by_id(simhash.fingerprints(docs))
     assert got[len(BASE) + 3]["fp"] == got[len(BASE) + 4]["fp"] == 0
