@@ -178,13 +178,15 @@ def contamination(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", te
     kind = dict(docs.dtypes)[key]
     parts = list_of = None
     found: list[DataFrame] = []
-    source = docs
+    source, number = docs, "_number"
+    while number.lower() in {key.lower(), text.lower(), *(c.lower() for c in docs.columns)}:
+        number = f"_{number}"
     for q in blocks(benchmark, n=n):
         if found and source is docs:  # from the second block on, rows need a number of their own
-            source = stored(docs.select(key, text).withColumn("_row", F.monotonically_increasing_id()))
+            source = stored(docs.select(key, text).withColumn(number, F.monotonically_increasing_id()))
             first = next(blocks(benchmark, n=n))
-            found = [stored(hits(build_index(source, first.vocab, "_row", text), first, "long", "_row"))]
-        by = (key, kind) if source is docs else ("_row", "long")
+            found = [stored(hits(build_index(source, first.vocab, number, text), first, "long", number))]
+        by = (key, kind) if source is docs else (number, "long")
         out = hits(build_index(source, q.vocab, by[0], text), q, by[1], by[0])
         found.append(out if source is docs else stored(out))
     if not found:
@@ -196,8 +198,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", te
         both = found[0]
         for x in found[1:]:
             both = both.unionByName(x)
-        merged = both.groupBy("_row").agg(F.max("n_words").alias("n_words"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("hit")))).alias("hit"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
-        parts = merged.join(source.select("_row", key), "_row").drop("_row")
+        merged = both.groupBy(number).agg(F.max("n_words").alias("n_words"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("hit")))).alias("hit"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
+        parts = merged.join(source.select(number, key), number).drop(number)
     n_hit = F.size("hit").cast("long")
     return parts.select(key, "n_words", n_hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"), "items", ((n_hit > 0) & (20 * n_hit >= F.col("n_words"))).alias("contaminated"))
 

@@ -247,6 +247,16 @@ def test_contamination(spark, docs):
             assert (r["n_words"], r["n_hit"], r["items"]) == (len(w), len(hit), sorted(own))
 
 
+def test_contaminated_documents_go_with_blocks(spark, docs, tmp_path, monkeypatch):
+    spark.createDataFrame([(1, BASE[0]), (2, BASE[8]), (3, "never said")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    want = sorted(str(r) for r in corpus_pipeline.drop_contaminated(spark, docs, str(tmp_path)).collect())
+    monkeypatch.setattr(phrases, "BLOCK_WORDS", 1)  # a block for every item
+    assert 0 < len(want) < docs.count()
+    assert sorted(str(r) for r in corpus_pipeline.drop_contaminated(spark, docs, str(tmp_path)).collect()) == want
+    own = docs.withColumn("_number", F.lit(1))  # a column of the caller's
+    assert "_number" in own.columns and phrases.contamination(own, spark.read.parquet(f"{tmp_path}/benchmark.parquet")).count() == docs.count()
+
+
 def test_toxicity(spark):
     rows = [(i, sentence(30) + (f" {RNG.choice(['vile', 'scummy'])} {RNG.choice(['vile', 'scummy', 'rotten'])}" if i % 5 == 0 else "")) for i in range(300)]
     d = spark.createDataFrame(rows, "doc_id long, text string")
