@@ -36,6 +36,8 @@ from .blobs import pack, pack_sorted, slices, unpack, unpack_sorted
 from .common import stored, table, work_dir
 
 LENGTH, GRAM, CHUNK_BYTES, ANCHORS_A_BUCKET, BYTES_A_SHARD, HOT = 50, 26, 2_500_000, 600_000, 3_000_000, 50_000
+#: Bytes of a piece in which minimizers are sought: 1 << 24 at most. A text may be longer.
+PIECE = 1 << 24
 SEP, NONE = 0xFF, np.iinfo(np.int64).max  # no UTF-8 text holds this byte
 
 
@@ -154,6 +156,27 @@ def gram_hashes(w: np.ndarray, at: np.ndarray | slice) -> np.ndarray:
     return h
 
 
+def minimizer_places(text: np.ndarray) -> np.ndarray:
+    """The place of the minimizer of each window of the text, by pieces whose places fit in 24 bits."""
+    found, step, total = [], PIECE - LENGTH + 1, len(text) - LENGTH + 1
+    for a in range(0, total, step):
+        count = min(step, total - a)
+        v = gram_hashes(words8(text[a : a + count + LENGTH - 1]), slice(None))
+        v &= ~np.uint64(0xFFFFFF)
+        v |= np.arange(len(v), dtype=np.uint64)
+        span, done = LENGTH - GRAM + 1, 1
+        while done * 2 <= span:
+            v = np.minimum(v[:-done], v[done:])
+            done *= 2
+        if span > done:
+            v = np.minimum(v[: len(v) - (span - done)], v[span - done :])
+        v = v[:count]
+        v &= np.uint64(0xFFFFFF)
+        v += np.uint64(a)
+        found.append(v)
+    return found[0] if len(found) == 1 else np.concatenate(found)
+
+
 def minimizers(text: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Anchors in order: place of the minimizer, first window that owns it, number of such windows (one run)."""
     begins = np.concatenate([[0], np.cumsum(lengths + 1)[:-1]]).astype(np.int64)
@@ -161,19 +184,10 @@ def minimizers(text: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.nd
     empty = np.zeros(0, np.int64)
     if not windows.sum():
         return empty, empty, empty
-    v = gram_hashes(words8(text), slice(None))
-    v &= ~np.uint64(0xFFFFFF)
-    v |= np.arange(len(v), dtype=np.uint64)
-    span, done = LENGTH - GRAM + 1, 1
-    while done * 2 <= span:
-        v = np.minimum(v[:-done], v[done:])
-        done *= 2
-    if span > done:
-        v = np.minimum(v[: len(v) - (span - done)], v[span - done :])
+    v = minimizer_places(text)
     inside = np.zeros(len(v), bool)
     for b, n in zip(begins.tolist(), windows.tolist(), strict=True):
         inside[b : b + n] = True
-    v &= np.uint64(0xFFFFFF)
     head = inside.copy()
     head[1:] &= (v[1:] != v[:-1]) | ~inside[:-1]
     first = np.flatnonzero(head)

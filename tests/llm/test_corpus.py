@@ -63,6 +63,22 @@ def test_suffix_dedup(docs, hot, monkeypatch):
         assert (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) == (len(x), sum(gone), len(re.findall(b"\1+", bytes(gone))), hashlib.sha256(kept).hexdigest())
 
 
+def test_minimizers_of_long_texts(monkeypatch):
+    rng = np.random.default_rng(3)
+    passage = rng.integers(97, 123, 400).astype(np.uint8)
+    long = np.concatenate([passage, rng.integers(97, 123, 1 << 24).astype(np.uint8), passage, np.array([255], np.uint8)])
+    place, first, count = suffixes.minimizers(long, np.array([len(long) - 1]))
+    assert (np.diff(place) > 0).all() and ((place >= first + count - 1) & (place <= first + 24)).all()
+    at = len(long) - 401
+    head, tail = place[place + 50 < 400], place[(place >= at) & (place + 50 < at + 400)] - at
+    assert set(head[head > 50]) == set(tail[tail > 50]) and len(head) > 10  # by content alone
+    some = np.concatenate([long[:3000], [255], long[:20], [255], long[-900:]]).astype(np.uint8)
+    want = [x.tolist() for x in suffixes.minimizers(some, np.array([3000, 20, 899]))]
+    for piece in (50, 51, 120, 1000):
+        monkeypatch.setattr(suffixes, "PIECE", piece)
+        assert [x.tolist() for x in suffixes.minimizers(some, np.array([3000, 20, 899]))] == want
+
+
 def test_katz_normalises_and_matches(docs):
     got = by_id(katz.score(docs))
     tok = {i: (t or "").encode().lower().split() + [b"\n"] for i, t in [*enumerate(TEXTS), (None, BASE[6])]}
