@@ -246,8 +246,8 @@ class Chunk:
         self.uniq, self.inverse = np.unique(self.hashes, return_inverse=True)
 
     def buckets(self, n: int) -> np.ndarray:
-        """The bucket of each distinct hash, rising with it."""
-        return (self.uniq * np.uint64(n) >> np.uint64(52)).astype(np.int64)
+        """The bucket of each distinct hash, rising with it: by its upper 32 of 52 bits, so that no product overflows for n under 2^32."""
+        return ((self.uniq >> np.uint64(20)) * np.uint64(n) >> np.uint64(32)).astype(np.int64)
 
     def documents(self) -> np.ndarray:
         """On how many documents each distinct hash stands."""

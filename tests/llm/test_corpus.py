@@ -79,6 +79,16 @@ def test_minimizers_of_long_texts(monkeypatch):
         assert [x.tolist() for x in suffixes.minimizers(some, np.array([3000, 20, 899]))] == want
 
 
+def test_many_buckets_rise_with_the_hash():
+    c = suffixes.Chunk.__new__(suffixes.Chunk)
+    c.uniq = np.unique(np.random.default_rng(4).integers(0, 1 << 52, 20_000, dtype=np.uint64))
+    for n in (12, 4096, 4097, 60_000, 5_000_000):
+        got = c.buckets(n)
+        assert (np.diff(got) >= 0).all() and got[0] >= 0 and got[-1] == n * int(c.uniq[-1] >> 20) >> 32 < n
+        ks = [k for k, _ in suffixes.slices(got)]
+        assert len(ks) == len(set(ks))
+
+
 def test_katz_normalises_and_matches(docs):
     got = by_id(katz.score(docs))
     tok = {i: (t or "").encode().lower().split() + [b"\n"] for i, t in [*enumerate(TEXTS), (None, BASE[6])]}
