@@ -14,27 +14,39 @@ Decoding. ``StreamDecoder`` takes ids in any portions and gives text as soon as
 state machine whose state is how many bytes of which sequence are open; broken sequences become U+FFFD.
 
 Defined results: a null text is the empty text and gives no tokens; lone surrogates can't occur in Spark strings;
-repeated rows stay rows; an empty table gives an empty result; other columns are not read.
+keys of any type come back as they were, null beside large ones too; repeated rows stay rows; an empty table gives an
+empty result; other columns are not read.
 """
 
 from __future__ import annotations
 
 import base64
+import contextlib
+import ctypes
 import gc
 import hashlib
+import marshal
 import re
+import threading
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 from struct import pack
 
-import pandas as pd
+import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from .common import table
 
-#: Most states of the transducer, and most pieces and words remembered with their ids, in each Python worker.
-MAX_STATES, MAX_PIECES, MAX_WORDS = 300_000, 700_000, 700_000
+#: Most states of the transducer, and most bytes of remembered pieces and words, in each Python worker. What is
+#: remembered changes how long a text takes, never its ids.
+MAX_STATES, MAX_BYTES = 350_000, 200_000_000
+#: What an entry of a dict of short strings and bytes takes besides their characters.
+ENTRY = 190
+#: Seconds without a partition after which a worker lets go of all it remembers.
+IDLE = 2.0
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -74,11 +86,11 @@ class Transducer:
 
     def _reset(self) -> None:
         #: A state: one (trie node, last token or -1, tokens not yet emitted) for each live prefix, oldest first.
-        start = ((0, -1, ()),)
+        #: Kept as marshalled bytes, a fifth of the size; the version without references gives equal states equal bytes.
+        start = marshal.dumps(((0, -1, ()),), 2)
         self.ids, self.states = {start: 0}, [start]
         #: state << 8 | byte -> (next state << 8, tokens)
         self.arcs: dict[int, tuple[int, tuple[int, ...]]] = {}
-        self.final: list[tuple[int, ...] | None] = [()]
 
     def halves(self, token: int) -> tuple[int, int]:
         """The two tokens of a token's last merge; itself twice for a single byte."""
@@ -120,7 +132,7 @@ class Transducer:
 
     def _arc(self, state: int, byte: int) -> tuple[int, tuple[int, ...]]:
         live, whole, follow, token, own = [], None, self.next, self.token, self._own
-        for node, last, pending in self.states[state]:
+        for node, last, pending in marshal.loads(self.states[state]):
             to = follow[node].get(byte)
             if to is None:
                 continue
@@ -139,12 +151,11 @@ class Transducer:
             if n:
                 out = low[:n]
                 live = [(node, last, pending[n:]) for node, last, pending in live]
-        key = tuple(live)
+        key = marshal.dumps(tuple(live), 2)
         to = self.ids.get(key)
         if to is None:
             to = self.ids[key] = len(self.states)
             self.states.append(key)
-            self.final.append(key[-1][2])
         arc = self.arcs[state << 8 | byte] = (to << 8, out)
         return arc
 
@@ -157,7 +168,7 @@ class Transducer:
             at, got = known(at | byte) or self._arc(at >> 8, byte)
             if got:
                 out += got
-        out += self.final[at >> 8]
+        out += marshal.loads(self.states[at >> 8])[-1][2]
         return out
 
     def encode_piece(self, piece: bytes) -> list[int]:
@@ -165,52 +176,61 @@ class Transducer:
         return [known] if known is not None else self.run(piece)
 
 
-class _Words(dict):
-    """A stretch from one white-space character to the next -> packed ids, remembered up to MAX_WORDS."""
-
-    def __init__(self, of: Encoder):
-        super().__init__()
-        self.of = of
-
-    def __missing__(self, word: str) -> bytes:
-        packed = self.of.slow(word if word[:1] == "\n" else " " + word)
-        if len(word) <= 64:
-            if len(self) >= MAX_WORDS:
-                self.clear()
-            self[word] = packed
-        return packed
-
-
 class Encoder(dict):
-    """Piece -> packed ids, remembered up to MAX_PIECES. Pieces come from the rank files' pattern.
+    """A stretch from one white-space character to the next -> its packed ids, remembered up to MAX_BYTES.
 
     No piece goes on past white space that follows something else, so where white-space characters stand alone, a text
-    can be cut before each of them and every stretch looked up whole.
+    can be cut before each of them and every stretch looked up whole. Pieces come from the rank files' pattern.
     """
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         super().__init__()
-        # \\s of the rank files' own engine is the property White_Space
-        self.transducer, self.split = Transducer(ranks), regex.compile(pattern.replace(r"[^\s\p{L}", r"[^\p{White_Space}\p{L}").replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}")).findall
-        self.words = _Words(self)
+        # \s of the rank files' own engine is the property White_Space
+        own = pattern.replace(r"[^\s\p{L}", r"[^\p{White_Space}\p{L}").replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}")
+        self.transducer, self.split = Transducer(ranks), regex.compile(own).findall
+        self.single = [pack("<I", i) for i in range(max(ranks.values(), default=-1) + 1)]
+        #: Pieces of stretches that hold several, and what was remembered of stretches and pieces before.
+        self.pieces: dict[str, bytes] = {}
+        self.before: tuple[dict[str, bytes], dict[str, bytes]] = ({}, {})
+        self.room = MAX_BYTES // 2
+
+    def _keep(self, known: dict[str, bytes], name: str, packed: bytes) -> None:
+        """Two generations: once the newer one is full, it becomes the older, and what nothing asks for again goes."""
+        if len(name) <= 64:
+            known[name] = packed
+            self.room -= ENTRY + len(name) + len(packed)
+            if self.room < 0:
+                self.before = (dict(self), self.pieces)
+                self.clear()
+                self.pieces, self.room = {}, MAX_BYTES // 2
 
-    def __missing__(self, piece: str) -> bytes:
+    def piece(self, piece: str) -> bytes:
         ids = self.transducer.encode_piece(piece.encode())
-        packed = pack(f"<{len(ids)}I", *ids)
-        if len(piece) <= 64:
-            if len(self) >= MAX_PIECES:
-                self.clear()
-            self[piece] = packed
+        return self.single[ids[0]] if len(ids) == 1 else pack(f"<{len(ids)}I", *ids)
+
+    def __missing__(self, word: str) -> bytes:
+        packed = self.before[0].get(word)
+        if packed is None:
+            found = self.split(word if word[:1] == "\n" else " " + word)
+            packed = self.piece(found[0]) if len(found) == 1 else self._joined(found)
+        self._keep(self, word, packed)
         return packed
 
-    def slow(self, text: str) -> bytes:
-        return b"".join(map(self.__getitem__, self.split(text)))
+    def _joined(self, found: list[str]) -> bytes:
+        out = []
+        for piece in found:
+            packed = self.pieces.get(piece)
+            if packed is None:
+                packed = self.before[1].get(piece) or self.piece(piece)
+                self._keep(self.pieces, piece, packed)
+            out.append(packed)
+        return b"".join(out)
 
     def packed(self, text: str) -> bytes:
         if _TWO_BLANKS(text):
-            return self.slow(text)
+            return self._joined(self.split(text))
         first, *rest = text.replace("\n", " \n").split(" ")
-        return b"".join([self.slow(first), *map(self.words.__getitem__, rest)])
+        return b"".join([self._joined(self.split(first)), *map(self.__getitem__, rest)])
 
     def encode(self, text: str) -> list[int]:
         return memoryview(self.packed(text)).cast("I").tolist()
@@ -275,6 +295,38 @@ def encoder(path: str | None = None) -> Encoder:
     return Encoder(read_ranks(path or public_tokenizers.path("byte_bpe_multi_50k.tiktoken")), public_tokenizers.PATTERN)
 
 
+class _Lease:
+    """While a partition runs, the worker's encoder stays; IDLE seconds after the last one it goes, and its memory with it.
+
+    Workers outlive stages, so what they remember would otherwise stay beside the stages that follow.
+    """
+
+    running, timer = 0, None
+    lock = threading.Lock()
+
+    def __enter__(self) -> None:
+        with _Lease.lock:
+            _Lease.running += 1
+            if _Lease.timer:
+                _Lease.timer.cancel()
+
+    def __exit__(self, *_: object) -> None:
+        with _Lease.lock:
+            _Lease.running -= 1
+            _Lease.timer = threading.Timer(IDLE, self.release)
+            _Lease.timer.daemon = True
+            _Lease.timer.start()
+
+    @staticmethod
+    def release() -> None:
+        with _Lease.lock:
+            if not _Lease.running:
+                encoder.cache_clear()
+                gc.collect()
+                with contextlib.suppress(OSError, AttributeError):  # where the C library has it
+                    ctypes.CDLL(None).malloc_trim(0)
+
+
 #: Ids decoded at a time.
 PORTION = 1 << 16
 
@@ -291,23 +343,27 @@ def round_trip(text: str, e: Encoder) -> tuple[int, str, str]:
 def encode_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", path: str | None = None, ids: bool = False) -> DataFrame:
     """key, n_tokens, ids_sha256, decoded_sha256 and, on request, the ids themselves: one pass, no shuffle."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        e, collects = encoder(path), gc.isenabled()
-        gc.disable()  # nothing here makes cycles, and passes over the transducer's many tuples take a fifth of the time
-        try:
-            for b in batches:
-                texts = [t if t is not None else "" for t in b["_text"].tolist()]
-                got = [round_trip(t, e) for t in texts]
-                out = {"_key": b["_key"], "n_tokens": [x[0] for x in got], "ids_sha256": [x[1] for x in got], "decoded_sha256": [x[2] for x in got]}
-                yield pd.DataFrame(out | ({"ids": [e.encode(t) for t in texts]} if ids else {}))
-        finally:
-            if collects:
-                gc.enable()
-
-    rows = docs.selectExpr(f"`{key}` AS _key", f"`{text}` AS _text")
-    kind = dict(rows.dtypes)["_key"]
-    schema = f"_key {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<long>" * ids
-    return rows.mapInPandas(run, schema).withColumnRenamed("_key", key)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        with _Lease():
+            e, collects = encoder(path), gc.isenabled()
+            gc.disable()  # nothing here makes cycles, and passes over the transducer's many tuples take a fifth of the time
+            try:
+                for b in batches:
+                    texts = [t if t is not None else "" for t in b.column(1).to_pylist()]
+                    got = [round_trip(t, e) for t in texts]
+                    out = [b.column(0), pa.array([x[0] for x in got], pa.int64()), *(pa.array([x[i] for x in got], pa.string()) for i in (1, 2))]
+                    names = [key, "n_tokens", "ids_sha256", "decoded_sha256"]
+                    if ids:
+                        out, names = [*out, pa.array([e.encode(t) for t in texts], pa.list_(pa.int64()))], [*names, "ids"]
+                    yield pa.RecordBatch.from_arrays(out, names)
+            finally:
+                del e
+                if collects:
+                    gc.enable()
+
+    rows = docs.select(F.col(f"`{key}`"), F.col(f"`{text}`"))
+    more = "n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<long>" * ids
+    return rows.mapInArrow(run, StructType([rows.schema[0], *StructType.fromDDL(more)]))
 
 
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
