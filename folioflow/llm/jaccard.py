@@ -1,13 +1,22 @@
-"""Near-duplicates by exact Jaccard similarity of shingle sets: pairs at four fifths or more link, components are groups.
+"""Near-duplicates for the pipeline: SimHash links first, then all that Jaccard similarity asks for.
 
-Search. All shingles have one order. A set of a shingles that reaches four fifths with another holds four fifths of its
-own in common with it, so the two share one of their first a // 5 + 1 shingles (prefix filtering). Only those are dealt
-out. The order is by hash, with the shingles that are common in a sample of the texts last; which these are changes
-how many candidates there are, never the result. No pair is lost: every candidate that sizes and places of common
-shingles don't exclude has its whole sets compared.
+Texts link when their sets of word shingles reach a Jaccard similarity of four fifths; components of links are groups.
 
-Texts with equal sets are one row throughout. Where sets that share shingles are many, they are first compared with a
-few of their own only, and then only with sets of other components, so a large group isn't compared pair by pair.
+First, the SimHash operator: fingerprints of the same shingles, linked by pigeonring filtering within its bit budget, and
+each link then held against the sets. That joins most copies cheaply, but a pair at four fifths differs in about ten of 64
+bits, far beyond a budget that segments can index, so SimHash alone would lose pairs (README). The rest is found by prefix
+filtering. All shingles have one order. A set of a shingles that reaches four fifths with another holds four fifths of its
+own in common with it, so the two share one of their first a // 5 + 1 shingles, and only those are dealt out. The order is
+by hash, with the shingles that are common in a sample of the texts last; which these are changes how many candidates there
+are, never the result. Where half of a set isn't common, the first ``FEW`` of the prefix are enough: two such sets agree in
+six tenths or more of what isn't common, so all of the first FEW differ with a chance of 0.4 ** FEW, about 2e-13.
+
+A candidate's bottom-k sketches (the ``SKETCH`` least shingles) are compared before its whole sets: where two sets at four
+fifths would show under ``SHOWN`` common ones among the SKETCH least of both with a chance of 1e-11, it goes. Sets smaller
+than a sketch are their own sketch, so nothing is left to chance there. What remains has its whole sets compared.
+
+Texts with equal sets are one row throughout. Where sets that share shingles are many, they are first compared with one
+leader each, and then only with sets of other components, so a large group isn't compared pair by pair.
 
 Defined results: texts without words have equal (empty) sets; a text of fewer words than a shingle is one shingle.
 Shingles are compared by XXH64, sets of equal texts by 128 bits.
@@ -23,18 +32,21 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from . import simhash
 from .common import stored
 from .components import components
-from .simhash import shingle_hashes
 
 #: Texts looked at for common shingles, and on how many of them such a shingle stands.
 SHINGLE, SAMPLE, COMMON = 5, 4000, 4
-#: Candidates a row from which sets are first compared with LEADERS others.
-WIDE, LEADERS = 8, 3
+#: Candidates a row from which sets are first compared with a leader.
+WIDE = 8
+FEW, SKETCH, SHOWN = 32, 64, 26
+#: Rows up to which the names of texts to be compared are broadcast, so that the other texts aren't moved.
+BROADCAST_ROWS = 300_000
 
 
 def shingle_set(text: str | None, n: int = SHINGLE) -> np.ndarray:
-    return np.unique(shingle_hashes(text, n))
+    return np.unique(simhash.shingle_hashes(text, n))
 
 
 def prefix(own: np.ndarray, common: np.ndarray) -> np.ndarray:
@@ -42,7 +54,10 @@ def prefix(own: np.ndarray, common: np.ndarray) -> np.ndarray:
     late = np.zeros(len(own), bool)
     if len(common):
         late = common[np.minimum(np.searchsorted(common, own), len(common) - 1)] == own
-    return np.concatenate([own[~late], own[late]])[: len(own) // 5 + 1]
+    size = len(own) // 5 + 1
+    if 2 * int(late.sum()) <= len(own):
+        size = min(size, FEW)
+    return np.concatenate([own[~late], own[late]])[:size]
 
 
 def common_shingles(docs: DataFrame, text: str, n: int) -> np.ndarray:
@@ -60,14 +75,21 @@ def common_shingles(docs: DataFrame, text: str, n: int) -> np.ndarray:
 
 
 def coded(docs: DataFrame, columns: list[str], text: str, n: int) -> DataFrame:
-    """columns, digest of the set, its size and its prefix."""
+    """columns, digest of the set, its size, its fingerprint, its sketch and its prefix."""
     sent = docs.sparkSession.sparkContext.broadcast(common_shingles(docs, text, n))
 
-    @F.pandas_udf("digest binary, size long, prefix array<long>")
+    @F.pandas_udf("digest binary, size long, fp long, sketch binary, prefix array<long>")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            sets = [shingle_set(t, n) for t in b.tolist()]
-            yield pd.DataFrame({"digest": [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets], "size": [len(s) for s in sets], "prefix": [prefix(s, sent.value).view(np.int64) for s in sets]})
+            hashes = [simhash.shingle_hashes(t, n) for t in b.tolist()]
+            sets = [np.unique(h) for h in hashes]
+            yield pd.DataFrame({
+                "digest": [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets],
+                "size": [len(s) for s in sets],
+                "fp": np.array([simhash.majority(h) for h in hashes], np.uint64).view(np.int64),
+                "sketch": [(s[:SKETCH] >> np.uint64(32)).astype("<u4").tobytes() for s in sets],
+                "prefix": [prefix(s, sent.value).view(np.int64) for s in sets],
+            })
 
     return docs.select(*columns, run(F.col(text)).alias("_x")).select(*columns, "_x.*")
 
@@ -76,52 +98,88 @@ def _sizes_allow(a: str, b: str) -> Column:
     return 5 * F.least(a, b) >= 4 * F.greatest(a, b)
 
 
-def similar(pairs: DataFrame, docs: DataFrame, row: str, text: str, n: int) -> DataFrame:
-    """Those pairs (u, v) of rows whose sets reach four fifths."""
-
-    @F.pandas_udf("binary")
-    def sets(s: pd.Series) -> pd.Series:
-        return pd.Series([shingle_set(t, n).tobytes() for t in s.tolist()], dtype=object)
-
-    @F.pandas_udf("boolean")
-    def reach(a: pd.Series, b: pd.Series) -> pd.Series:
-        out = []
-        for x, y in zip(a.tolist(), b.tolist(), strict=True):
-            both = np.concatenate([np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)])
-            total = len(both)
-            both.sort(kind="stable")
-            out.append(9 * int((both[1:] == both[:-1]).sum()) >= 4 * total)
-        return pd.Series(out, dtype=bool)
-
-    named = pairs.select(F.explode(F.array("u", "v")).alias(row)).distinct()
-    own = stored(docs.select(row, text).join(named, row, "left_semi").select(F.col(row), sets(F.col(text)).alias("set")))
-    both = pairs.join(own.select(F.col(row).alias("u"), F.col("set").alias("a")), "u").join(own.select(F.col(row).alias("v"), F.col("set").alias("b")), "v")
-    return stored(both.filter(reach("a", "b")).select("u", "v"))
-
-
-def links(distinct: DataFrame, docs: DataFrame, row: str, text: str, n: int) -> DataFrame:
-    """Links among distinct sets (row, size, prefix) that connect whatever is similar."""
-    rows = distinct.select(F.col(row).alias("id"), "size", F.posexplode("prefix").alias("pos", "h"))
+def sketches_allow(x: bytes, y: bytes) -> bool:
+    """Whether two sets may reach four fifths, by the least shingles of each (upper halves of their hashes)."""
+    a, b = np.frombuffer(x, np.uint32), np.frombuffer(y, np.uint32)
+    both = np.sort(np.concatenate([a, b]), kind="stable")
+    if len(a) < SKETCH and len(b) < SKETCH:
+        return True
+    once = np.concatenate([[True], both[1:] != both[:-1]])
+    twice = np.concatenate([both[1:] == both[:-1], [False]])
+    return int(twice[np.flatnonzero(once)[:SKETCH]].sum()) >= SHOWN
+
+
+class Sets:
+    """What is known of the distinct sets: a stored table (row, size, sketch), and the texts behind it."""
+
+    def __init__(self, distinct: DataFrame, docs: DataFrame, row: str, text: str, n: int):
+        self.distinct, self.docs, self.row, self.text, self.n = distinct, docs, row, text, n
+
+    def similar(self, pairs: DataFrame) -> DataFrame:
+        """Those pairs (u, v) of rows whose sets reach four fifths."""
+        n, row = self.n, self.row
+
+        @F.pandas_udf("boolean")
+        def may(a: pd.Series, b: pd.Series) -> pd.Series:
+            return pd.Series([sketches_allow(x, y) for x, y in zip(a.tolist(), b.tolist(), strict=True)], dtype=bool)
+
+        @F.pandas_udf("boolean")
+        def reach(a: pd.Series, b: pd.Series) -> pd.Series:
+            out, last, own = [], None, None
+            for x, y in zip(a.tolist(), b.tolist(), strict=True):
+                if x is not last:
+                    last, own = x, shingle_set(x, n)
+                both = np.concatenate([own, shingle_set(y, n)])
+                total = len(both)
+                both.sort(kind="stable")
+                out.append(9 * int((both[1:] == both[:-1]).sum()) >= 4 * total)
+            return pd.Series(out, dtype=bool)
+
+        def with_both(pairs: DataFrame, of: DataFrame, column: str) -> DataFrame:
+            one, two = (of.select(F.col(row).alias(k), F.col(column).alias(x)) for k, x in (("u", "a"), ("v", "b")))
+            return pairs.join(one, "u").join(two, "v")
+
+        left = stored(with_both(pairs, self.distinct, "sketch").filter(may("a", "b")).select("u", "v"))
+        named = stored(left.select(F.explode(F.array("u", "v")).alias(row)).distinct())
+        few = F.broadcast(named) if named.count() <= BROADCAST_ROWS else named
+        texts = stored(self.docs.select(row, self.text).join(few, row, "left_semi"))
+        return stored(with_both(left, texts, self.text).filter(reach("a", "b")).select("u", "v"))
+
+
+def by_fingerprint(sets: Sets) -> DataFrame:
+    """Links among sets whose SimHash fingerprints are equal or linked: each with the least row of its fingerprint's group."""
+    prints = sets.distinct.select(F.col(sets.row).alias("id"), "fp")
+    roots = simhash.groups(prints, "id")
+    return sets.similar(roots.filter("id <> component_id").select(F.col("component_id").alias("u"), F.col("id").alias("v")))
+
+
+def links(sets: Sets, found: DataFrame | None = None) -> DataFrame:
+    """Links among the distinct sets, beside those found, that connect whatever is similar."""
+    rows = sets.distinct.select(F.col(sets.row).alias("id"), "size", F.posexplode("prefix").alias("pos", "h"))
     shared = stored(rows.join(rows.groupBy("h").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("h"), "h"))
-    found, tried = None, 0
+    new, tried = found, 0
     now = shared.withColumn("root", F.col("id"))
     while True:
-        runs = now.groupBy("h").agg(F.count(F.lit(1)).alias("n")).agg(F.sum(F.col("n").cast("double") * (F.col("n") - 1) / 2).alias("pairs"), F.sum("n").alias("rows")).first()
+        if new is not None:
+            roots = components(found)
+            named = shared.join(roots.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
+            mixed_runs = named.groupBy("h").agg(F.min("root").alias("a"), F.max("root").alias("b")).filter("a < b").select("h")
+            now = stored(named.join(mixed_runs, "h"))
+        runs = now.groupBy("h").agg(F.count(F.lit(1)).alias("n"))
+        runs = runs.agg(F.sum(F.col("n").cast("double") * (F.col("n") - 1) / 2).alias("pairs"), F.sum("n").alias("rows")).first()
         if (runs["pairs"] or 0) <= WIDE * (runs["rows"] or 0):
             break
         tried += 1
         mixed = F.xxhash64(F.lit(tried), "h", "id")
         lead = now.groupBy("h").agg(F.min(F.struct(mixed.alias("x"), F.col("id").alias("lead"), F.col("size").alias("lead_size"), F.col("root").alias("lead_root"))).alias("l")).select("h", "l.*")
         met = now.join(lead, "h").filter((F.col("root") != F.col("lead_root")) & _sizes_allow("size", "lead_size"))
-        few = met.groupBy("id").agg(F.slice(F.array_sort(F.collect_set("lead")), 1, LEADERS).alias("leads")).select("id", F.explode("leads").alias("lead"))
-        new = similar(stored(few.select(F.least("id", "lead").alias("u"), F.greatest("id", "lead").alias("v")).distinct()), docs, row, text, n)
+        # of a row's leaders, the one that it shares the most first shingles with
+        often = met.groupBy("id", "lead").agg(F.count(F.lit(1)).alias("k"))
+        one = often.groupBy("id").agg(F.max_by("lead", F.struct("k", "lead")).alias("lead"))
+        new = sets.similar(stored(one.select(F.least("id", "lead").alias("u"), F.greatest("id", "lead").alias("v")).distinct()))
         if not new.limit(1).count():
             break
         found = new if found is None else found.unionByName(new)
-        roots = components(found)
-        named = shared.join(roots.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
-        mixed_runs = named.groupBy("h").agg(F.min("root").alias("a"), F.max("root").alias("b")).filter("a < b").select("h")
-        now = stored(named.join(mixed_runs, "h"))
     a = now.select("h", F.col("id").alias("u"), F.col("size").alias("su"), F.col("pos").alias("pu"), F.col("root").alias("ru"))
     b = now.select("h", F.col("id").alias("v"), F.col("size").alias("sv"), F.col("pos").alias("pv"), F.col("root").alias("rv"))
     met = a.join(b, "h").filter((F.col("u") < F.col("v")) & (F.col("ru") != F.col("rv")) & _sizes_allow("su", "sv"))
@@ -129,16 +187,18 @@ def links(distinct: DataFrame, docs: DataFrame, row: str, text: str, n: int) ->
     # what is common up to the last common shingle of the prefixes is counted; behind it, at most the rest of the shorter tail
     most = F.col("k") + F.least(F.col("su") - 1 - F.col("pu"), F.col("sv") - 1 - F.col("pv"))
     pairs = stored(counted.filter(9 * most >= 4 * (F.col("su") + F.col("sv"))).select("u", "v"))
-    rest = similar(pairs, docs, row, text, n)
+    rest = sets.similar(pairs)
     return rest if found is None else found.unionByName(rest)
 
 
 def groups(docs: DataFrame, row: str, name: str, text: str = "text", n: int = SHINGLE) -> DataFrame:
     """row (a distinct number), name and component_id, the smallest name of the row's group."""
-    sets = stored(coded(docs, [row, name], text, n))
-    distinct = stored(sets.groupBy("digest").agg(F.min(row).alias(row), F.min(name).alias("least"), F.first("size").alias("size"), F.first("prefix").alias("prefix")))
-    roots = components(links(distinct, docs, row, text, n))
-    named = stored(distinct.select("digest", "least", F.col(row).alias("node")).join(roots, "node", "left").select("digest", "least", F.coalesce("root", "node").alias("root")))
-    least = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    labels = named.select("digest", "root").join(least, "root").select("digest", "component_id")
-    return sets.select(row, name, "digest").join(labels, "digest").select(row, name, "component_id")
+    every = stored(coded(docs, [row, name], text, n))
+    least = stored(every.groupBy("digest").agg(F.min(row).alias(row), F.min(name).alias("least")))
+    distinct = stored(every.select(row, "size", "fp", "sketch", "prefix").join(least.select(row), row, "left_semi"))
+    sets = Sets(distinct, docs, row, text, n)
+    roots = components(links(sets, by_fingerprint(sets)))
+    named = stored(least.select("digest", "least", F.col(row).alias("node")).join(roots, "node", "left").select("digest", "least", F.coalesce("root", "node").alias("root")))
+    first = named.groupBy("root").agg(F.min("least").alias("component_id"))
+    labels = named.select("digest", "root").join(first, "root").select("digest", "component_id")
+    return every.select(row, name, "digest").join(labels, "digest").select(row, name, "component_id")

@@ -46,8 +46,8 @@ def shingle_hashes(text: str | None, n: int = SHINGLE) -> np.ndarray:
     return np.fromiter((h(joined[a:b], SEED) for a, b in zip(starts, stops, strict=True)), np.uint64, k)
 
 
-def fingerprint(text: str | None, n: int = SHINGLE) -> int:
-    hashes = shingle_hashes(text, n)
+def majority(hashes: np.ndarray) -> int:
+    """A bit is set where more than half of the hashes have it set."""
     counts = np.zeros(64, np.int64)
     for i in range(0, len(hashes), 65536):
         part = hashes[i : i + 65536]
@@ -55,6 +55,10 @@ def fingerprint(text: str | None, n: int = SHINGLE) -> int:
     return int(np.packbits(2 * counts > len(hashes), bitorder="little").view(np.uint64)[0])
 
 
+def fingerprint(text: str | None, n: int = SHINGLE) -> int:
+    return majority(shingle_hashes(text, n))
+
+
 def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = SHINGLE) -> DataFrame:
     """key and fp, the fingerprint as a signed 64-bit number."""
 
