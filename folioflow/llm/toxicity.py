@@ -11,8 +11,9 @@ the highest chi-square are used. The fit sees at most ``SAMPLE`` labelled docume
 doc_id; scoring sees all documents and whole texts.
 
 Defined results: a null text has no words; a label without a document, a null label or null doc_id among the labels is
-left out; of several labels of a document the highest counts; without toxic labels every score is 0; repeated rows stay
-rows; an empty table gives an empty result; other columns pass through ``score`` unchanged.
+left out; of several labels of a document the highest counts, and of several texts under one id the first in order; without
+toxic labels every score is 0; repeated rows stay rows; an empty table gives an empty result; other columns pass through
+``score`` unchanged, and its own are named with underscores before a taken name.
 """
 
 from __future__ import annotations
@@ -20,13 +21,14 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from string import ascii_lowercase, ascii_uppercase
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import stored, table, text_of
+from .common import free, stored, table, text_of
 
 SAMPLE, MIN_DOCS, MIN_LIFT, MIN_CHI2, MAX_WORDS, CUT = 10_000, 5, 3.0, 20.0, 2_000, 0.5
 #: Separators of words: what is neither a letter nor a digit of ASCII nor beyond ASCII.
@@ -41,7 +43,7 @@ class Model:
 
 
 def word_set(text: Column) -> Column:
-    return F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(r"([^\x00-\x2F\x3A-\x60\x7B-\x7F]+)"), F.lit(1)))
+    return F.array_distinct(F.regexp_extract_all(F.translate(text, ascii_uppercase, ascii_lowercase), F.lit(r"([^\x00-\x2F\x3A-\x60\x7B-\x7F]+)"), F.lit(1)))
 
 
 def sample(docs: DataFrame, labels: DataFrame, limit: int = SAMPLE) -> DataFrame:
@@ -50,7 +52,8 @@ def sample(docs: DataFrame, labels: DataFrame, limit: int = SAMPLE) -> DataFrame
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
     # the join comes first, and the result is stored: words are taken of the sample only, and once
     rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
-    return stored(rows.select("doc_id", "toxic", word_set(text_of()).alias("words")))
+    one = rows.groupBy("doc_id", "toxic").agg(F.min(text_of()).alias("text"))  # rows that share an id count once
+    return stored(one.select("doc_id", "toxic", word_set(F.col("text")).alias("words")))
 
 
 def telling_words(rows: DataFrame) -> list[str]:
@@ -123,8 +126,9 @@ def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
             s1, s2 = (1 / (1 + np.exp(np.clip(t - sums, -50, 50))) for t in (t1, t2))
             yield pd.DataFrame({"severity": s1 + s2, "severity_grade": np.argmax(np.stack([1 - s1, s1 - s2, s2]), axis=0).astype("int32"), "toxic": s1 + s2 >= CUT})
 
-    got = docs.withColumn("_scored", run(F.col(text)))
-    return got.select(*docs.columns, *[F.col(f"_scored.{c}").alias(f"_{c}" if c in docs.columns else c) for c in ("severity", "severity_grade", "toxic")])
+    scored, names = free("_scored", docs.columns), ("severity", "severity_grade", "toxic")
+    got = docs.withColumn(scored, run(F.col(text)))
+    return got.select(*docs.columns, *[F.col(f"{scored}.{c}").alias(free(c, docs.columns)) for c in names])
 
 
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
