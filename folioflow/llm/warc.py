@@ -12,7 +12,7 @@ Archives are rows (path, content), as Spark's binaryFile source gives them, so t
 reads; ``save`` also writes them as files where the folder is a file system of all machines.
 
 Defined results: null html is an empty payload; rows that share the smallest page_id of equal payloads are all
-responses; a null page_id sorts after all others and is written as an empty id, read back as null; repeated rows stay
+responses; a null page_id sorts after all others, is written as a record without an id header and read back as null; repeated rows stay
 rows; an empty table gives no archive and an empty result; other columns are not read.
 """
 
@@ -53,20 +53,21 @@ def record_id(page: str) -> str:
     return f"<urn:uuid:{uuid.uuid5(NAMESPACE, page)}>"
 
 
-def write_record(page: str, url: str, payload: bytes, digest: str, refers_to: str | None) -> bytes:
+def write_record(page: str | None, url: str, payload: bytes, digest: str, refers_to: str | None) -> bytes:
     block = HTTP if refers_to is not None else HTTP + payload
     headers = {
         "WARC-Type": "response" if refers_to is None else "revisit",
-        "WARC-Record-ID": record_id(page),
+        "WARC-Record-ID": record_id(page or ""),
         "WARC-Date": "2000-01-01T00:00:00Z",
         "WARC-Target-URI": url,
         "WARC-Payload-Digest": f"sha256:{digest}",
         "WARC-Block-Digest": f"sha256:{hashlib.sha256(block).hexdigest()}",
-        "X-Page-ID": page,
         "X-Payload-Length": str(len(payload)),
         "Content-Type": "application/http; msgtype=response",
         "Content-Length": str(len(block)),
     }
+    if page is not None:
+        headers["X-Page-ID"] = page
     if refers_to is not None:
         headers |= {"WARC-Profile": PROFILE, "WARC-Refers-To": record_id(refers_to), "X-Refers-To": refers_to}
     head = "".join(f"{k}: {v}\r\n" for k, v in headers.items())
@@ -122,6 +123,10 @@ def train(records: list[bytes]) -> bytes:
         return b""
 
 
+#: Digests of repeated payloads are broadcast up to this many rows, and joined by shuffling beyond.
+BROADCAST_ROWS = 100_000
+
+
 def pack(records: list[bytes]) -> bytes:
     dictionary = train(records)
     c = zstandard.ZstdCompressor(level=LEVEL, dict_data=zstandard.ZstdCompressionDict(dictionary) if dictionary else None, write_checksum=True, write_content_size=True)
@@ -164,7 +169,13 @@ def write_archives(pages: DataFrame, key: str = "page_id", url: str = "url", htm
     p = pages.select(F.col(key).cast("string").alias("page"), F.coalesce(F.col(url), F.lit("")).alias("url"), text_of(F.col(html)).alias("payload"), F.col(key).alias("k"))
     p = p.withColumn("digest", F.sha2("payload", 256)).withColumn("size", F.octet_length("payload"))
     first = p.filter(F.col("size") >= MIN_REVISIT).groupBy("digest").agg(F.min("k").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1").select("digest", "first")
-    p = p.join(first, "digest", "left").withColumn("refers_to", F.when((F.col("size") >= MIN_REVISIT) & ~F.col("first").eqNullSafe(F.col("k")), F.col("first").cast("string")))
+    first = stored(first)
+    if first.count() <= BROADCAST_ROWS:
+        first = F.broadcast(first)
+    # payloads that can have no copy go past the join, so that they don't meet by a digest of no use
+    large = p.filter(F.col("size") >= MIN_REVISIT).join(first, "digest", "left")
+    small = p.filter(F.col("size") < MIN_REVISIT).withColumn("first", F.lit(None).cast(dict(p.dtypes)["k"]))
+    p = large.unionByName(small).withColumn("refers_to", F.when(~F.col("first").eqNullSafe(F.col("k")), F.col("first").cast("string")))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held, size = [], 0
@@ -175,7 +186,7 @@ def write_archives(pages: DataFrame, key: str = "page_id", url: str = "url", htm
 
         for b in batches:
             for page, u, payload, digest, refers in zip(b["page"], b["url"], b["payload"], b["digest"], b["refers_to"], strict=True):
-                held.append(write_record(page if isinstance(page, str) else "", u.replace("\r", "").replace("\n", ""), payload.encode(), digest, refers if isinstance(refers, str) else None))
+                held.append(write_record(page if isinstance(page, str) else None, u.replace("\r", "").replace("\n", ""), payload.encode(), digest, refers if isinstance(refers, str) else None))
                 size += len(held[-1])
                 if size >= ARCHIVE_BYTES:
                     yield archive()
@@ -211,7 +222,7 @@ def read_archives(archives: DataFrame, payloads: bool = False) -> DataFrame:
                 h, payload = r.headers, payload_of(r)
                 if h["WARC-Type"] == "response" and h.get("X-Payload-Length", str(len(payload))) != str(len(payload)):
                     raise BrokenArchive("the payload's length isn't the one in its header")
-                yield (h.get("X-Page-ID") or None, h.get("WARC-Target-URI"), int(h.get("X-Payload-Length", len(payload))), h["WARC-Payload-Digest"].removeprefix("sha256:"), h["WARC-Type"], h.get("X-Refers-To"), *([payload] if payloads else []))
+                yield (h.get("X-Page-ID"), h.get("WARC-Target-URI"), int(h.get("X-Payload-Length", len(payload))), h["WARC-Payload-Digest"].removeprefix("sha256:"), h["WARC-Type"], h.get("X-Refers-To"), *([payload] if payloads else []))
 
     names = ["page", "url", "payload_bytes", "payload_digest", "record_type", "refers_to", *(["payload"] if payloads else [])]
 
