@@ -16,7 +16,7 @@ Buckets answer with counts and weights, and chunks add up their tokens. No row i
 Words are told apart by XXH64; two of 10^7 different words share a value with a chance of about 10^-5.
 
 Defined results: a null text is the empty text and scores its end token; a null doc_id counts as an empty string for the
-split; without training texts each token is the unknown word with probability one; repeated rows count and stay; an
+split; keys come back as they were (they travel as text: any type that a cast to string and back keeps); without training texts each token is the unknown word with probability one; repeated rows count and stay; an
 empty table gives an empty result; other columns are not read.
 """
 
@@ -52,8 +52,6 @@ def _mix(a: np.ndarray) -> np.ndarray:
 
 def code(docs: DataFrame, key: str, text: str, fold: int, folds: int) -> DataFrame:
     """The stored chunks: keys, held_out flags, lengths in tokens, words' hashes and training counts, token codes."""
-    kind = dict(docs.dtypes)[key]
-
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         part, n = TaskContext.get().partitionId(), itertools.count()
         names: defaultdict = defaultdict()
@@ -77,11 +75,11 @@ def code(docs: DataFrame, key: str, text: str, fold: int, folds: int) -> DataFra
 
         start()
         for b in batches:
-            for k, name, t in zip(b["_key"], b["_name"], b["_text"], strict=True):
+            for name, t in zip(b["_key"], b["_text"], strict=True):
                 words = t.encode().lower().split() if t else []
                 words.append(END)
                 codes.append(np.fromiter(map(names.__getitem__, words), np.uint32, len(words)))
-                keys.append(None if isinstance(k, float) and k != k else k)
+                keys.append(name)
                 held.append(zlib.crc32((name or "").encode()) % folds == fold)
                 lengths.append(len(words))
                 size += len(t or "") + 8
@@ -91,8 +89,8 @@ def code(docs: DataFrame, key: str, text: str, fold: int, folds: int) -> DataFra
         if keys:
             yield chunk()
 
-    rows = docs.selectExpr(f"`{key}` AS _key", f"cast(`{key}` AS string) AS _name", f"`{text}` AS _text")
-    return stored(rows.mapInPandas(run, f"chunk long, keys array<{kind}>, held array<boolean>, lengths array<long>, n_words long, hashes binary, tf binary, codes binary"))
+    rows = docs.selectExpr(f"cast(`{key}` AS string) AS _key", f"`{text}` AS _text")
+    return stored(rows.mapInPandas(run, "chunk long, keys array<string>, held array<boolean>, lengths array<long>, n_words long, hashes binary, tf binary, codes binary"))
 
 
 def _word_order(hashes: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -393,8 +391,8 @@ def score_chunks(coded: DataFrame, words: DataFrame, seen: DataFrame, m: Model,
         add = lambda x: np.add.reduceat(x, starts)
         return pd.DataFrame({"_key": list(own["keys"]), "held_out": np.asarray(own["held"], bool), "n_tokens": lengths, "n_known": add((c > 0).astype(np.int64)), "train_tokens": m.tokens, "base_score": add(base), "score": add(logp[place])})
 
-    out = f"_key {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    return _joined(coded, (1, words), (2, seen)).groupBy("chunk").applyInPandas(run, out).withColumnRenamed("_key", key)
+    out = "_key string, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
+    return _joined(coded, (1, words), (2, seen)).groupBy("chunk").applyInPandas(run, out).withColumn("_key", F.col("_key").cast(kind)).withColumnRenamed("_key", key)
 
 
 def score(docs: DataFrame, key: str = "doc_id", text: str = "text", fold: int = 1, folds: int = 5) -> DataFrame:
