@@ -14,7 +14,7 @@ minimizer: the leftmost of its 26-byte strings with the least hash. Equal window
 A minimizer on more than ``HOT`` rows is dealt out by its single windows, so that no phrase fills a shard.
 
 Matches are exact: hashes only choose where to look (and may look in vain), bytes decide. Defined results: a null text is
-the empty text; a null key is larger than every key; documents with equal keys don't remove each other's bytes; texts
+the empty text; a null key counts as the largest integer; documents with equal keys don't remove each other's bytes; texts
 under 50 bytes stay; an empty table gives an empty result; other columns are not read. Keys are integers.
 """
 
@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .blobs import pack, pack_sorted, slices, unpack, unpack_sorted
-from .common import stored, table, work_dir
+from .common import gone_at_exit, stored, table, work_dir
 
 LENGTH, GRAM, CHUNK_BYTES, ANCHORS_A_BUCKET, BYTES_A_SHARD, HOT = 50, 26, 2_500_000, 600_000, 3_000_000, 50_000
 #: Bytes of a piece in which minimizers are sought: 1 << 24 at most. A text may be longer.
@@ -197,44 +197,49 @@ def minimizers(text: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.nd
 
 def _bucketed(df: DataFrame, n: int) -> DataFrame:
     """df stored in n buckets by chunk, so that grouping it by chunk moves nothing."""
-    name = f"folioflow_{uuid.uuid4().hex}"
-    df.write.option("path", work_dir(df.sparkSession)).option("compression", "uncompressed").bucketBy(n, "chunk").saveAsTable(name)
-    return df.sparkSession.table(name)
+    spark, name, path = df.sparkSession, f"folioflow_{uuid.uuid4().hex}", work_dir(df.sparkSession)
+    df.write.option("path", path).option("compression", "uncompressed").bucketBy(n, "chunk").saveAsTable(name)
+    gone_at_exit(spark, path)
+    bucketed = spark.table(name)
+    bucketed.schema  # resolved: its files and buckets are known, and the catalog can forget the name
+    spark.sql(f"DROP TABLE {name}")
+    return bucketed
 
 
 def chunks(docs: DataFrame, key: str, text: str, n: int) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         part, number = TaskContext.get().partitionId(), itertools.count()
-        keys, texts, size = [], [], 0
+        keys, nulls, texts, size = [], [], [], 0
 
         def chunk() -> pd.DataFrame:
             lengths = np.fromiter(map(len, texts), np.int64, len(texts))
             data = bytes([SEP]).join([*texts, b""])
             place, first, count = minimizers(np.frombuffer(data, np.uint8), lengths)
-            return pd.DataFrame({"chunk": [part << 32 | next(number)], "keys": [pack(np.array(keys, np.int64))], "lengths": [pack(lengths)], "data": [zstandard.compress(data, 5)], "place": [pack_sorted(place)], "first": [pack((place - first).astype(np.uint8))], "windows": [pack(count.astype(np.uint8))], "n_bytes": [len(data)], "n_anchors": [len(place)]})
+            return pd.DataFrame({"chunk": [part << 32 | next(number)], "keys": [pack(np.array(keys, np.int64))], "nulls": [pack(np.array(nulls, np.bool_).view(np.uint8))], "lengths": [pack(lengths)], "data": [zstandard.compress(data, 5)], "place": [pack_sorted(place)], "first": [pack((place - first).astype(np.uint8))], "windows": [pack(count.astype(np.uint8))], "n_bytes": [len(data)], "n_anchors": [len(place)]})
 
         for b in batches:
             for k, null, t in zip(b["_key"].tolist(), b["_null"].tolist(), b["_text"].tolist(), strict=True):
                 data = t.encode() if t else b""
                 if texts and size + len(data) >= 1 << 24:
                     yield chunk()
-                    keys, texts, size = [], [], 0
+                    keys, nulls, texts, size = [], [], [], 0
                 keys.append(NONE if null else k)
+                nulls.append(null)
                 texts.append(data)
                 size += len(data) + 1
                 if size >= CHUNK_BYTES:
                     yield chunk()
-                    keys, texts, size = [], [], 0
+                    keys, nulls, texts, size = [], [], [], 0
         if texts:
             yield chunk()
 
     rows = docs.selectExpr(f"coalesce(cast(`{key}` AS long), 0L) AS _key", f"`{key}` IS NULL AS _null", f"`{text}` AS _text")
-    return _bucketed(rows.mapInPandas(run, "chunk long, keys binary, lengths binary, data binary, place binary, first binary, windows binary, n_bytes long, n_anchors long"), n)
+    return _bucketed(rows.mapInPandas(run, "chunk long, keys binary, nulls binary, lengths binary, data binary, place binary, first binary, windows binary, n_bytes long, n_anchors long"), n)
 
 
 class Chunk:
     def __init__(self, row: pd.Series):
-        self.keys, self.lengths = unpack(row["keys"]), unpack(row["lengths"])
+        self.keys, self.lengths, self.nulls = unpack(row["keys"]), unpack(row["lengths"]), unpack(row["nulls"])
         self.data = zstandard.decompress(row["data"])
         self.place = unpack_sorted(row["place"])
         self.first = self.place - unpack(row["first"])
@@ -242,7 +247,9 @@ class Chunk:
         self.begins = np.concatenate([[0], np.cumsum(self.lengths + 1)[:-1]]).astype(np.int64)
         self.doc = np.searchsorted(self.begins, self.first, "right") - 1
         padded = np.concatenate([np.frombuffer(self.data, np.uint8), np.zeros(GRAM, np.uint8)])
-        self.hashes = gram_hashes(words8(padded), self.place) >> np.uint64(12) if len(self.place) else np.zeros(0, np.uint64)
+        # mixed once more, as the least of several hashes isn't evenly spread, and buckets go by its upper bits
+        h = gram_hashes(words8(padded), self.place) if len(self.place) else np.zeros(0, np.uint64)
+        self.hashes = ((h ^ h >> np.uint64(32)) * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(12)
         self.uniq, self.inverse = np.unique(self.hashes, return_inverse=True)
 
     def buckets(self, n: int) -> np.ndarray:
@@ -305,7 +312,7 @@ def shared_minimizers(coded: DataFrame, n: int) -> DataFrame:
         going = [int(unpack(d)[flags[p] > 0].sum()) for p, d in zip(places, pdf["docs"], strict=True)]
         return pd.DataFrame({"chunk": pdf["chunk"], "bucket": pdf["bucket"], "flags": [pack(flags[p]) for p in places], "going": going})
 
-    sends = coded.select("chunk", "keys", "lengths", "data", "place", "first", "windows").mapInPandas(send, "bucket int, chunk long, hashes binary, docs binary")
+    sends = coded.select(*COLUMNS).mapInPandas(send, "bucket int, chunk long, hashes binary, docs binary")
     return stored(sends.groupBy("bucket").applyInPandas(merge, "chunk long, bucket int, flags binary, going long"))
 
 
@@ -316,7 +323,7 @@ def _flags(chunk: Chunk, answers: pd.DataFrame, n: int) -> np.ndarray:
     return flags
 
 
-COLUMNS = ["chunk", "keys", "lengths", "data", "place", "first", "windows"]
+COLUMNS = ["chunk", "keys", "nulls", "lengths", "data", "place", "first", "windows"]
 
 
 def shard_answers(coded: DataFrame, flags: DataFrame, n1: int, n2: int) -> DataFrame:
@@ -348,7 +355,7 @@ def shard_answers(coded: DataFrame, flags: DataFrame, n1: int, n2: int) -> DataF
     return stored(sends.groupBy("shard").applyInPandas(merge, "chunk long, shard int, least binary"))
 
 
-def remove(coded: DataFrame, flags: DataFrame, found: DataFrame, n1: int, n2: int, key: str, kept: bool) -> DataFrame:
+def remove(coded: DataFrame, flags: DataFrame, found: DataFrame, n1: int, n2: int, key: str, kind: str, kept: bool) -> DataFrame:
     columns = ["_key", "n_bytes", "n_removed", "n_spans", "kept_sha256", *(["kept"] if kept else [])]
 
     def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
@@ -369,21 +376,24 @@ def remove(coded: DataFrame, flags: DataFrame, found: DataFrame, n1: int, n2: in
             delta += np.bincount(at, minlength=len(delta)).astype(np.int32) - np.bincount(at + LENGTH, minlength=len(delta)).astype(np.int32)
         gone = np.cumsum(delta[:-1]) > 0
         data, rows = np.frombuffer(c.data, np.uint8), []
-        for k, b, n in zip(c.keys.tolist(), c.begins.tolist(), c.lengths.tolist(), strict=True):
+        for k, null, b, n in zip(c.keys.tolist(), c.nulls.tolist(), c.begins.tolist(), c.lengths.tolist(), strict=True):
             g = gone[b : b + n]
             removed = int(g.sum())
             rest = data[b : b + n][~g].tobytes() if removed else c.data[b : b + n]
             spans = int(g[:1].sum() + (g[1:] & ~g[:-1]).sum()) if removed else 0
-            rows.append((None if k == NONE else k, n, removed, spans, hashlib.sha256(rest).hexdigest(), *([rest] if kept else [])))
+            rows.append((None if null else str(k), n, removed, spans, hashlib.sha256(rest).hexdigest(), *([rest] if kept else [])))
         return pd.DataFrame(rows, columns=columns)
 
     answers = flags.select("chunk", F.lit(0).alias("level"), "bucket", "flags").unionByName(found.select("chunk", F.lit(1).alias("level"), F.col("shard").alias("bucket"), F.col("least").alias("flags")))
-    schema = "_key long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * kept
-    return coded.select(*COLUMNS).groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInPandas(run, schema).withColumnRenamed("_key", key)
+    schema = "_key string, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * kept
+    return coded.select(*COLUMNS).groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInPandas(run, schema).withColumn("_key", F.col("_key").cast(kind)).withColumnRenamed("_key", key)
 
 
 def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", kept: bool = False) -> DataFrame:
     """key, n_bytes, n_removed, n_spans, kept_sha256 and, on request, the bytes that stay."""
+    kind = dict(docs.dtypes)[key]
+    if kind not in ("tinyint", "smallint", "int", "bigint"):
+        raise TypeError(f"keys are ordered as integers, and {key} is {kind}")
     partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     coded = chunks(docs, key, text, max(12, partitions))
     total = coded.agg(F.sum("n_anchors")).first()[0] or 0
@@ -391,7 +401,7 @@ def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", kept: bool =
     flags = shared_minimizers(coded, n1)
     going = flags.agg(F.sum("going")).first()[0] or 0
     n2 = max(12, -(-int(going) * (LENGTH + GRAM // 2) // BYTES_A_SHARD))
-    return remove(coded, flags, shard_answers(coded, flags, n1, n2), n1, n2, key, kept)
+    return remove(coded, flags, shard_answers(coded, flags, n1, n2), n1, n2, key, kind, kept)
 
 
 def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
