@@ -1,21 +1,25 @@
 """Personal data by weak supervision, in DataFrame expressions only.
 
-Patterns propose spans of four kinds: the strict (base) ones of the contract, which always stay, and loose ones (a
-spelt-out e-mail address, a national phone number, a card number or an address in another spelling). Five labelers
-vote on every span: +1, 0 (no opinion) or -1:
+Patterns propose spans of five kinds: the strict (base) ones of the contract's four kinds, which always stay, and loose ones,
+which are other spellings (an e-mail address spelt out, a defanged IPv4 or an IPv6 address, a card number with other
+separators, a phone number without a plus sign) and credentials (kind ``secret``). Five labelers vote on every span, each
++1, 0 (no opinion) or -1:
 
 * pattern: the strict pattern and its checks matched;
-* gazetteer: a known top-level domain, a card issuer's leading digit, a calling code;
+* gazetteer: a known top-level domain, a card issuer's leading digits, a calling or trunk code, a credential's prefix or length;
 * context: a telling word among the 24 characters before (+1), or a misleading one (-1);
-* shape: digits or letters of a length usual for the kind;
+* shape: digits or letters as the kind has them, a card's checksum, a credential that mixes letters and digits;
 * border: no letter, digit or underscore touches the span.
 
-Expectation-maximisation (Dawid and Skene's model) estimates each labeler's reliability from the counts of vote
-patterns, of which there are at most 4 x 3^5. The posteriors then train a logistic span classifier, whose weights are a
-handful of literals. Loose spans stay if it gives them at least ``threshold``.
+Expectation-maximisation (Dawid and Skene's model, a prior for each kind) estimates each labeler's reliability from the
+counts of vote patterns, of which there are at most 5 x 3^5. Its posteriors are the targets of a logistic span classifier
+that sees more than the votes: the kind, the gazetteer, context, shape and border votes, and the span's length, share of digits,
+separators and the character before it, in steps. It is fitted to counts of such patterns, whose number is bounded by the
+steps, whatever the input; its weights are a handful of literals. Loose spans stay if it gives them ``threshold`` at least.
 
-Offsets are code points, end exclusive. Defined results: a null text is the empty text; ties between loose spans go to
-the earlier and then the longer; repeated rows stay rows; an empty table gives an empty result.
+Offsets are code points, end exclusive. Defined results: a null text is the empty text; a loose span that overlaps a strict
+one, or an earlier kind's loose one, isn't proposed; repeated rows stay rows; an empty table gives an empty result; other columns pass through, and
+``spans`` has underscores before its name where that is taken.
 """
 
 from __future__ import annotations
@@ -25,9 +29,10 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import stored, table, text_of
+from .common import free, stored, table, text_of
 
-KINDS = ("email", "ip", "card", "phone")
+BASE_KINDS = ("email", "ip", "card", "phone")
+KINDS = (*BASE_KINDS, "secret")
 #: The contract's patterns, made linear: possessive runs, and a start inside a run only where a match has just ended.
 #: A card needs 13 digits at least, so shorter runs needn't be proposed.
 BASE = {
@@ -37,8 +42,11 @@ BASE = {
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
 LOOSE = {
-    "email": r"(?i)(?<![a-z0-9._%+-])[a-z0-9._%+-]{1,64}+ ?[\[(] ?at ?[\])] ?[a-z0-9-]{1,63}+(?: ?(?:\.|[\[(] ?dot ?[\])]) ?[a-z0-9-]{1,63}+){1,8}+",
-    "phone": r"(?<![0-9A-Za-z+.-])\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4}(?![0-9A-Za-z.-])",
+    "email": r"(?i)(?<![a-z0-9._%+-])[a-z0-9._%+-]++ ?[\[({] ?at ?[\])}] ?[a-z0-9-]++(?: ?(?:\.|[\[({] ?dot ?[\])}]) ?[a-z0-9-]++)++",
+    "ip": r"(?i)(?<![0-9a-z.:])(?:[0-9]{1,3}(?:(?:\[\.\]|\(\.\)|\[dot\])[0-9]{1,3}){3}|(?:[0-9a-f]{1,4}:){7}[0-9a-f]{1,4}|(?:[0-9a-f]{1,4}:){1,6}(?::[0-9a-f]{1,4}){1,6})(?![0-9a-z:])",
+    "card": r"(?<![0-9._/])[0-9]{4}(?:[._/][0-9]{4}){2}[._/][0-9]{1,7}(?![0-9._/]?[0-9])",
+    "phone": r"(?<![0-9A-Za-z+.-])(?:00[0-9]{1,3}[ .-]?)?(?:\([0-9]{2,4}\)|[0-9]{2,4})(?:[ .-][0-9]{2,4}){2,4}(?![0-9A-Za-z.-])",
+    "secret": r"(?i)(?<![a-z0-9])(?:(?:api[_-]?key|access[_-]?key|secret|token|password|passwd)[\"']? ?[:=] ?[\"']?[a-z0-9+/_=-]{8,}+|akia[0-9a-z]{16}(?![0-9a-z])|gh[pousr]_[a-z0-9]{36}(?![0-9a-z]))",
 }
 #: What a text must hold for a pattern to be worth trying.
 HINTS = {"email": "@", "phone": "+", "ip": "."}
@@ -48,11 +56,14 @@ TELLING = {
     "ip": r"(?i)\b(ip|address|server|host)\b[^\n]*$",
     "card": r"(?i)(card|visa|credit|karte|carte|tarjeta)[^\n]*$",
     "phone": r"(?i)(phone|tel|call|mobile|fax|contact)[^\n]*$",
+    "secret": r"(?i)(aws|github|login|auth|credential|export)[^\n]*$",
 }
-MISLEADING = r"(?i)(version|isbn|order|invoice|ref|serial|no\.|id)[ :#]*$"
+MISLEADING = r"(?i)\b(version|isbn|order|invoice|ref|serial|no\.|id|page|section|date|example|sample)[ :#]*$"
 LABELERS = ("pattern", "gazetteer", "context", "shape", "border")
 THRESHOLD = 0.5
-SPAN = "array<struct<kind:string,k:int,s:int,e:int,base:boolean,votes:array<int>>>"
+SPAN = "array<struct<kind:string,k:int,s:int,e:int,base:boolean,votes:array<int>,features:array<int>>>"
+#: Steps of each further feature of a span: length, share of digits, separators, character before.
+STEPS = (5, 4, 4, 3)
 
 
 def _luhn(digits: Column) -> Column:
@@ -100,35 +111,61 @@ def _votes(text: Column, kind: str, x: Column, base: bool) -> Column:
     digits = F.regexp_replace(m, "[^0-9]", "")
     n = F.length(digits)
     say = lambda yes, no=None: F.when(yes, 1).when(no, -1).otherwise(0) if no is not None else F.when(yes, 1).otherwise(0)
+    value = F.regexp_replace(m, r"(?i)^[a-z_-]+[\"']? ?[:=] ?[\"']?", "")
     known = {
         "email": F.array_contains(F.lit(TLDS), F.lower(F.regexp_extract(m, r"([A-Za-z0-9-]+)$", 1))),
-        "ip": ~m.rlike(r"(^|\.)0[0-9]"),
-        "card": digits.rlike("^[3-6]"),
-        "phone": m.rlike(r"^\+(1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|[2-9][0-9]{2})"),
+        "ip": ~m.rlike(r"(^|[.\])])0[0-9]"),
+        "card": digits.rlike("^(4|5[1-5]|2[2-7]|3[47]|6)"),
+        "phone": m.rlike(r"^\+(1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|[2-9][0-9]{2})|^\(?0|^\(?[2-9][0-9]{2}\)?[ .-][2-9]"),
+        "secret": m.rlike(r"(?i)^(akia|gh[pousr]_)") | value.rlike(r"(?i)^([0-9a-f]{32}|[0-9a-f]{40}|[0-9a-f]{64}|sk-.*|gh[pousr]_.*)$"),
+    }[kind]
+    usual = {
+        "email": F.length(m) <= 254,
+        "ip": F.length(m) <= 39,
+        "card": (n >= 13) & (n <= 19) if base else F.when((n >= 13) & (n <= 19), _luhn(digits)).otherwise(False),
+        "phone": (n >= 9) & (n <= 15),
+        "secret": value.rlike("[0-9]") & value.rlike("[A-Za-z]") & (F.length(value) >= 16),
     }[kind]
-    usual = {"email": F.length(m) <= 254, "ip": F.length(m) <= 15, "card": (n >= 13) & (n <= 19), "phone": (n >= 9) & (n <= 15)}[kind]
     touches = F.substring(before, -1, 1).rlike(r"[\p{L}\p{N}_]") | F.substring(text, x["e"] + 1, F.lit(1)).rlike(r"[\p{L}\p{N}_]")
     return F.array(F.lit(1 if base else 0), say(known), say(before.rlike(TELLING[kind]), before.rlike(MISLEADING)), say(usual, ~usual), F.when(touches, -1).otherwise(1))
 
 
-def propose(docs: DataFrame, text: str = "text") -> DataFrame:
-    """docs with spans: all proposed spans with their votes, the base ones first, then loose ones that overlap none of them."""
-    patterns = [(k, BASE[k], True) for k in KINDS] + [(k, LOOSE[k], False) for k in LOOSE]
-    t = F.col("_t")
-    rows = docs.withColumn("_t", text_of(F.col(text)))
+def _features(text: Column, x: Column) -> Column:
+    m = x["m"]
+    n, digits = F.length(m), F.length(F.regexp_replace(m, "[^0-9]", ""))
+    marks = F.length(F.regexp_replace(m, "[A-Za-z0-9]", ""))
+    left = F.when(x["s"] > 0, F.substring(text, x["s"], F.lit(1))).otherwise(" ")
+    side = F.when(left.rlike(r"[\p{L}\p{N}_]"), 2).when(left.rlike(r"\s"), 0).otherwise(1)
+    return F.array(F.least(F.floor(n / 8), F.lit(4)).cast("int"), F.least(F.floor(4 * digits / n), F.lit(3)).cast("int"), F.least(marks, F.lit(3)).cast("int"), side.cast("int"))
+
+
+def _apart(spans: str, taken: str) -> Column:
+    return F.filter(spans, lambda x: ~F.exists(taken, lambda b: (b["s"] < x["e"]) & (x["s"] < b["e"])))
+
+
+def propose(docs: DataFrame, text: str = "text", into: str = "spans") -> DataFrame:
+    """docs and all proposed spans with votes and features: the base ones first, then loose ones that overlap none before."""
+    patterns = [(k, BASE[k], True) for k in BASE_KINDS] + [(k, p, False) for k, p in LOOSE.items()]
+    names, whole = docs.columns, free("_t", docs.columns)
+    found, matched, proposed = ([free(f"{n}{i}", names) for i in range(len(patterns))] for n in ("_f", "_m", "_s"))
+    t = F.col(whole)
+    rows = docs.withColumn(whole, text_of(F.col(text)))
     # one projection after another, so that each pattern runs once for a text
-    rows = rows.withColumns({f"_f{i}": _found(t, k, p) for i, (k, p, _) in enumerate(patterns)})
-    rows = rows.withColumns({f"_m{i}": _matches(t, F.col(f"_f{i}"), p) for i, (k, p, _) in enumerate(patterns)}).drop(*[f"_f{i}" for i in range(len(patterns))])
+    rows = rows.withColumns({f: _found(t, k, p) for f, (k, p, _) in zip(found, patterns, strict=True)})
+    rows = rows.withColumns({m: _matches(t, F.col(f), p) for m, f, (_, p, _) in zip(matched, found, patterns, strict=True)}).drop(*found)
 
-    def spans(i: int, kind: str, base: bool) -> Column:
-        valid = F.filter(f"_m{i}", lambda x: _valid(kind, x["m"])) if base else F.col(f"_m{i}")
-        voted = F.transform(valid, lambda x: F.struct(F.lit(kind).alias("kind"), F.lit(KINDS.index(kind)).alias("k"), x["s"].alias("s"), x["e"].alias("e"), F.lit(base).alias("base"), _votes(t, kind, x, base).alias("votes")))
-        return F.when(F.size(f"_m{i}") > 0, voted.cast(SPAN)).otherwise(F.array().cast(SPAN))
+    def spans(m: str, kind: str, base: bool) -> Column:
+        valid = F.filter(m, lambda x: _valid(kind, x["m"])) if base or kind == "phone" else F.col(m)
+        voted = F.transform(valid, lambda x: F.struct(F.lit(kind).alias("kind"), F.lit(KINDS.index(kind)).alias("k"), x["s"].alias("s"), x["e"].alias("e"), F.lit(base).alias("base"), _votes(t, kind, x, base).alias("votes"), _features(t, x).alias("features")))
+        return F.when(F.size(m) > 0, voted.cast(SPAN)).otherwise(F.array().cast(SPAN))
 
-    for name, of in (("_base", True), ("_loose", False)):
-        rows = rows.withColumn(name, F.concat(*[spans(i, k, b) for i, (k, _, b) in enumerate(patterns) if b == of]))
-    apart = F.filter("_loose", lambda x: ~F.exists("_base", lambda b: (b["s"] < x["e"]) & (x["s"] < b["e"])))
-    return rows.withColumn("spans", F.concat("_base", apart)).select(*docs.columns, "spans")
+    rows = rows.withColumns({p: spans(m, k, b) for p, m, (k, _, b) in zip(proposed, matched, patterns, strict=True)}).drop(*matched)
+    got = F.concat(*[F.col(p) for p, x in zip(proposed, patterns, strict=True) if x[2]])
+    for i, p in enumerate(p for p, x in zip(proposed, patterns, strict=True) if not x[2]):
+        step = free(f"_a{i}", names)
+        rows = rows.withColumn(step, got)
+        got = F.concat(F.col(step), F.when(F.size(p) > 0, _apart(p, step)).otherwise(F.col(p)))
+    return rows.select(*[F.col(f"`{c}`") for c in names], got.alias(into))
 
 
 def reliabilities(patterns: list[tuple[tuple[str, tuple[int, ...]], int]], rounds: int = 50) -> tuple[dict, list[dict[int, tuple[float, float]]]]:
@@ -154,36 +191,64 @@ def reliabilities(patterns: list[tuple[tuple[str, tuple[int, ...]], int]], round
     return post, table
 
 
-def span_classifier(patterns: list, post: dict, rounds: int = 400, rate: float = 0.5, ridge: float = 1e-3) -> tuple[dict[str, float], list[float]]:
-    """Logistic regression on the posteriors, by gradient steps over the patterns: a bias for each kind, a weight for each labeler."""
-    bias, w, total = dict.fromkeys(KINDS, 0.0), [0.0] * len(LABELERS), sum(n for _, n in patterns) or 1
+def inputs(kind: str, votes: tuple[int, ...], features: tuple[int, ...]) -> list[int]:
+    """What the classifier sees: one-hot kind and feature steps, and the votes but the strict pattern's."""
+    out = [int(kind == k) for k in KINDS] + list(votes[1:])
+    for f, steps in zip(features, STEPS, strict=True):
+        out += [int(f == i) for i in range(1, steps)]
+    return out
+
+
+def span_classifier(counts: list, post: dict, rounds: int = 300, rate: float = 1.0, ridge: float = 1e-3) -> list[float]:
+    """Logistic regression on the posteriors by gradient steps over counts of ((kind, votes, features), n): the weights of ``inputs``.
+
+    Steps are per kind of equal weight, so that a kind with few spans is learnt too.
+    """
+    of_kind = dict.fromkeys(KINDS, 0)
+    for (kind, _, _), n in counts:
+        of_kind[kind] += n
+    rows = [([i for i, v in enumerate(x) if v], [v for v in x if v], post[(c[0], c[1])], n / of_kind[c[0]]) for c, n in counts for x in [inputs(*c)]]
+    w = [0.0] * len(inputs("", (0,) * len(LABELERS), (0,) * len(STEPS)))
+    total = sum(r[3] for r in rows) or 1.0
     for _ in range(rounds):
-        gb, gw = dict.fromkeys(KINDS, 0.0), [ridge * x for x in w]
-        for p, n in patterns:
-            z = bias[p[0]] + sum(a * v for a, v in zip(w, p[1], strict=True))
-            d = n / total * (1 / (1 + math.exp(-z)) - post[p])
-            gb[p[0]] += d
-            gw = [g + d * v for g, v in zip(gw, p[1], strict=True)]
-        bias = {k: b - rate * gb[k] for k, b in bias.items()}
-        w = [a - rate * g for a, g in zip(w, gw, strict=True)]
-    return bias, w
+        g = [ridge * x for x in w]
+        for at, values, target, share in rows:
+            z = sum(w[i] * v for i, v in zip(at, values, strict=True))
+            d = share / total * (1 / (1 + math.exp(-max(-30.0, min(30.0, z)))) - target)
+            for i, v in zip(at, values, strict=True):
+                g[i] += d * v
+        w = [a - rate * b for a, b in zip(w, g, strict=True)]
+    return w
 
 
 def find(docs: DataFrame, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """docs without the text, with spans: array of kind, s, e, base, votes, ordered by kind and start."""
-    rows = stored(propose(docs, text).drop(text))
-    seen = rows.select(F.explode("spans").alias("x")).groupBy("x.kind", "x.votes").count().collect()  # at most 4 * 3^5 rows
-    patterns = sorted(((r["kind"], tuple(r["votes"])), r["count"]) for r in seen)
-    post, _ = reliabilities(patterns)
-    bias, w = span_classifier(patterns, post)
-    cut = math.log(threshold / (1 - threshold))
+    """docs without the text, with spans: array of kind, s, e, base, votes, features, ordered by kind and start."""
+    into = free("spans", docs.columns)
+    rows = stored(propose(docs, text, into).drop(text))
+    spans = rows.select(F.explode(into).alias("x"))
+    # at most 5 x 3^5 vote patterns times the product of STEPS, whatever the input
+    seen = spans.groupBy("x.kind", "x.votes", "x.features").count().collect()
+    counts = sorted(((r["kind"], tuple(r["votes"]), tuple(r["features"])), r["count"]) for r in seen)
+    votes: dict[tuple[str, tuple[int, ...]], int] = {}
+    for (kind, v, _), n in counts:
+        votes[kind, v] = votes.get((kind, v), 0) + n
+    post, _ = reliabilities(sorted(votes.items()))
+    w = span_classifier(counts, post)
+    cut, at = math.log(threshold / (1 - threshold)), len(KINDS)
 
     def score(x: Column) -> Column:
-        of_kind = F.element_at(F.create_map(*[F.lit(y) for k in KINDS for y in (k, bias[k])]), x["kind"])
-        return sum((F.lit(a) * F.get(x["votes"], F.lit(j)) for j, a in enumerate(w)), of_kind)
+        z = F.element_at(F.lit(w[:at]), x["k"] + 1)
+        for j in range(1, len(LABELERS)):
+            z = z + F.lit(w[at + j - 1]) * F.get(x["votes"], F.lit(j))
+        base = at + len(LABELERS) - 1
+        for j, steps in enumerate(STEPS):
+            z = z + F.element_at(F.lit([0.0, *w[base : base + steps - 1]]), F.get(x["features"], F.lit(j)) + 1)
+            base += steps - 1
+        return z
 
-    kept = F.filter("spans", lambda x: x["base"] | (score(x) >= cut))
-    return rows.withColumn("spans", F.array_sort(kept, lambda a, b: F.when(a["k"] != b["k"], a["k"] - b["k"]).when(a["s"] != b["s"], a["s"] - b["s"]).otherwise(a["e"] - b["e"])))
+    kept = F.filter(into, lambda x: x["base"] | (score(x) >= cut))
+    by = lambda a, b: F.when(a["k"] != b["k"], a["k"] - b["k"]).when(a["s"] != b["s"], a["s"] - b["s"]).otherwise(a["e"] - b["e"])
+    return rows.withColumn(into, F.array_sort(kept, by))
 
 
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -191,5 +256,6 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = F.filter("spans", lambda x: x["base"])
     joined = lambda spans: F.array_join(F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["s"].cast("string"), x["e"].cast("string"))), ",")
     count = lambda kind: F.size(F.filter(base, lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
-    counts = [count(k) for k in KINDS]
-    return rows.select("doc_id", *counts, F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
+    counts = [count(k) for k in BASE_KINDS]
+    more = F.size("spans").cast("long").alias("n_spans")
+    return rows.select("doc_id", *counts, F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"), more)
