@@ -38,8 +38,8 @@ from .components import components
 
 #: Texts looked at for common shingles, and on how many of them such a shingle stands.
 SHINGLE, SAMPLE, COMMON = 5, 4000, 4
-#: Candidates a row from which sets are first compared with a leader.
-WIDE = 8
+#: Pairs a row from which sets are first compared with a leader, and the share of pairs that must go for another round.
+WIDE, SHRINKS = 8, 0.7
 FEW, SKETCH, SHOWN = 32, 64, 26
 #: Rows up to which the names of texts to be compared are broadcast, so that the other texts aren't moved.
 BROADCAST_ROWS = 300_000
@@ -153,41 +153,51 @@ def by_fingerprint(sets: Sets) -> DataFrame:
     return sets.similar(roots.filter("id <> component_id").select(F.col("component_id").alias("u"), F.col("id").alias("v")))
 
 
+def _in_runs(shared: DataFrame, found: DataFrame | None) -> tuple[DataFrame, float, float]:
+    """Rows of runs (equal h) that hold several components, each with its root and whether it is of the run's largest
+    component; the rows' number, and that of the pairs to be met: all of the others with the whole run."""
+    named = shared.withColumn("root", F.col("id"))
+    if found is not None:
+        roots = components(found).withColumnRenamed("node", "id")
+        named = shared.join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
+    sizes = named.groupBy("h", "root").agg(F.count(F.lit(1)).alias("n"))
+    runs = sizes.groupBy("h").agg(F.sum("n").alias("n"), F.max_by("root", F.struct("n", "root")).alias("main"), F.max("n").alias("most"), F.count(F.lit(1)).alias("roots"))
+    runs = stored(runs.filter("roots > 1"))
+    total = runs.agg(F.sum("n").alias("rows"), F.sum(F.col("n").cast("double") * (F.col("n") - F.col("most"))).alias("pairs")).first()
+    return stored(named.join(runs.select("h", "main"), "h").withColumn("other", F.col("root") != F.col("main")).drop("main")), total["rows"] or 0, total["pairs"] or 0
+
+
 def links(sets: Sets, found: DataFrame | None = None) -> DataFrame:
-    """Links among the distinct sets, beside those found, that connect whatever is similar."""
+    """Links among the distinct sets, beside those found, that connect whatever is similar.
+
+    While there are many pairs to be met, and joining components still makes them fewer, each row is held against one
+    leader only; then all that is left are met.
+    """
     rows = sets.distinct.select(F.col(sets.row).alias("id"), "size", F.posexplode("prefix").alias("pos", "h"))
     shared = stored(rows.join(rows.groupBy("h").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("h"), "h"))
-    new, tried = found, 0
-    now = shared.withColumn("root", F.col("id"))
-    while True:
-        if new is not None:
-            roots = components(found)
-            named = shared.join(roots.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
-            mixed_runs = named.groupBy("h").agg(F.min("root").alias("a"), F.max("root").alias("b")).filter("a < b").select("h")
-            now = stored(named.join(mixed_runs, "h"))
-        runs = now.groupBy("h").agg(F.count(F.lit(1)).alias("n"))
-        runs = runs.agg(F.sum(F.col("n").cast("double") * (F.col("n") - 1) / 2).alias("pairs"), F.sum("n").alias("rows")).first()
-        if (runs["pairs"] or 0) <= WIDE * (runs["rows"] or 0):
-            break
-        tried += 1
+    now, n_rows, n_pairs = _in_runs(shared, found)
+    tried, before = 0, float("inf")
+    while n_pairs > WIDE * n_rows and n_pairs < SHRINKS * before:
+        tried, before = tried + 1, n_pairs
         mixed = F.xxhash64(F.lit(tried), "h", "id")
         lead = now.groupBy("h").agg(F.min(F.struct(mixed.alias("x"), F.col("id").alias("lead"), F.col("size").alias("lead_size"), F.col("root").alias("lead_root"))).alias("l")).select("h", "l.*")
         met = now.join(lead, "h").filter((F.col("root") != F.col("lead_root")) & _sizes_allow("size", "lead_size"))
         # of a row's leaders, the one that it shares the most first shingles with
         often = met.groupBy("id", "lead").agg(F.count(F.lit(1)).alias("k"))
         one = often.groupBy("id").agg(F.max_by("lead", F.struct("k", "lead")).alias("lead"))
-        new = sets.similar(stored(one.select(F.least("id", "lead").alias("u"), F.greatest("id", "lead").alias("v")).distinct()))
-        if not new.limit(1).count():
-            break
+        new = sets.similar(one.select(F.least("id", "lead").alias("u"), F.greatest("id", "lead").alias("v")).distinct())
         found = new if found is None else found.unionByName(new)
-    a = now.select("h", F.col("id").alias("u"), F.col("size").alias("su"), F.col("pos").alias("pu"), F.col("root").alias("ru"))
-    b = now.select("h", F.col("id").alias("v"), F.col("size").alias("sv"), F.col("pos").alias("pv"), F.col("root").alias("rv"))
-    met = a.join(b, "h").filter((F.col("u") < F.col("v")) & (F.col("ru") != F.col("rv")) & _sizes_allow("su", "sv"))
-    counted = met.groupBy("u", "v", "su", "sv").agg(F.count(F.lit(1)).alias("k"), F.max("pu").alias("pu"), F.max("pv").alias("pv"))
+        now, n_rows, n_pairs = _in_runs(shared, found)
+    a = now.filter("other").select("h", F.col("id").alias("u"), F.col("size").alias("su"), F.col("pos").alias("pu"), F.col("root").alias("ru"))
+    b = now.select("h", F.col("id").alias("v"), F.col("size").alias("sv"), F.col("pos").alias("pv"), F.col("root").alias("rv"), "other")
+    met = a.join(b, "h").filter((F.col("ru") != F.col("rv")) & ((F.col("u") < F.col("v")) | ~F.col("other")) & _sizes_allow("su", "sv"))
+    # either side may be the first, as the same two may meet in a run where one is of the largest component
+    one, two = F.struct(F.col("u").alias("id"), F.col("su").alias("s"), F.col("pu").alias("p")), F.struct(F.col("v").alias("id"), F.col("sv").alias("s"), F.col("pv").alias("p"))
+    met = met.select(F.least(one, two).alias("a"), F.greatest(one, two).alias("b"))
+    counted = met.groupBy("a.id", "a.s", F.col("b.id").alias("v"), F.col("b.s").alias("sv")).agg(F.count(F.lit(1)).alias("k"), F.max("a.p").alias("pu"), F.max("b.p").alias("pv"))
     # what is common up to the last common shingle of the prefixes is counted; behind it, at most the rest of the shorter tail
-    most = F.col("k") + F.least(F.col("su") - 1 - F.col("pu"), F.col("sv") - 1 - F.col("pv"))
-    pairs = stored(counted.filter(9 * most >= 4 * (F.col("su") + F.col("sv"))).select("u", "v"))
-    rest = sets.similar(pairs)
+    most = F.col("k") + F.least(F.col("s") - 1 - F.col("pu"), F.col("sv") - 1 - F.col("pv"))
+    rest = sets.similar(counted.filter(9 * most >= 4 * (F.col("s") + F.col("sv"))).select(F.col("id").alias("u"), "v"))
     return rest if found is None else found.unionByName(rest)
 
 
