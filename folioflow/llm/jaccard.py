@@ -8,15 +8,16 @@ bits, far beyond a budget that segments can index, so SimHash alone would lose p
 filtering. All shingles have one order. A set of a shingles that reaches four fifths with another holds four fifths of its
 own in common with it, so the two share one of their first a // 5 + 1 shingles, and only those are dealt out. The order is
 by hash, with the shingles that are common in a sample of the texts last; which these are changes how many candidates there
-are, never the result. Where half of a set isn't common, the first ``FEW`` of the prefix are enough: two such sets agree in
+are, never the result. A pair goes on only if what stands at or behind the shared shingle is enough on both sides. Where half of a set isn't common, the first ``FEW`` of the prefix are enough: two such sets agree in
 six tenths or more of what isn't common, so all of the first FEW differ with a chance of 0.4 ** FEW, about 2e-13.
 
 A candidate's bottom-k sketches (the ``SKETCH`` least shingles) are compared before its whole sets: where two sets at four
 fifths would show under ``SHOWN`` common ones among the SKETCH least of both with a chance of 1e-11, it goes. Sets smaller
 than a sketch are their own sketch, so nothing is left to chance there. What remains has its whole sets compared.
 
-Texts with equal sets are one row throughout. Where sets that share shingles are many, they are first compared with one
-leader each, and then only with sets of other components, so a large group isn't compared pair by pair.
+Texts with equal sets are one row throughout. Sets that share their least shingles are compared with one of them before all
+others, and where sets that share shingles are many, with a few leaders; then only sets of different components are, so
+a large group isn't compared pair by pair.
 
 Defined results: texts without words have equal (empty) sets; a text of fewer words than a shingle is one shingle.
 Shingles are compared by XXH64, sets of equal texts by 128 bits.
@@ -36,10 +37,12 @@ from . import simhash
 from .common import stored
 from .components import components
 
-#: Texts looked at for common shingles, and on how many of them such a shingle stands.
-SHINGLE, SAMPLE, COMMON = 5, 4000, 4
-#: Pairs a row from which sets are first compared with a leader, and the share of pairs that must go for another round.
-WIDE, SHRINKS = 8, 0.7
+#: One of SAMPLED texts is looked at for common shingles; on how many of those such a shingle stands, and the most that are
+#: put last (a broadcast of 8 bytes each). The rate is the same at every size, so runs of other shingles don't grow.
+SHINGLE, SAMPLED, COMMON, MOST = 5, 8, 4, 2_000_000
+#: Pairs a row from which sets are first compared with leaders, the share of pairs that may be left for another round, and
+#: the random orders by which a run's leaders are chosen.
+WIDE, SHRINKS, ORDERS = 40, 0.7, 8
 FEW, SKETCH, SHOWN = 32, 64, 26
 #: Rows up to which the names of texts to be compared are broadcast, so that the other texts aren't moved.
 BROADCAST_ROWS = 300_000
@@ -49,53 +52,82 @@ def shingle_set(text: str | None, n: int = SHINGLE) -> np.ndarray:
     return np.unique(simhash.shingle_hashes(text, n))
 
 
-def prefix(own: np.ndarray, common: np.ndarray) -> np.ndarray:
-    """The first shingles in the order of all: by hash, common ones last."""
+def prefix(own: np.ndarray, common: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The first shingles in the order of all, which is by hash, common ones last; and the common ones."""
     late = np.zeros(len(own), bool)
     if len(common):
         late = common[np.minimum(np.searchsorted(common, own), len(common) - 1)] == own
     size = len(own) // 5 + 1
     if 2 * int(late.sum()) <= len(own):
         size = min(size, FEW)
-    return np.concatenate([own[~late], own[late]])[:size]
+    return np.concatenate([own[~late], own[late]])[:size], own[late]
 
 
 def common_shingles(docs: DataFrame, text: str, n: int) -> np.ndarray:
-    """Sorted shingles that stand on COMMON texts or more of a sample."""
-    every = max(1, docs.count() // SAMPLE)
+    """Sorted shingles that stand on COMMON texts or more of the sample, the most frequent MOST of them."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             parts = [shingle_set(t, n) for t in b["_text"].tolist()]
             yield pd.DataFrame({"h": np.concatenate([np.zeros(0, np.uint64), *parts]).view(np.int64)})
 
-    some = docs.select(F.col(text).alias("_text")).filter(F.pmod(F.xxhash64("_text"), F.lit(every)) == 0)
-    found = some.mapInPandas(run, "h long").groupBy("h").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= COMMON)
-    return np.sort(np.array([r["h"] for r in found.select("h").toLocalIterator()], np.int64).view(np.uint64))
+    some = docs.select(F.col(text).alias("_text")).filter(F.pmod(F.xxhash64("_text"), F.lit(SAMPLED)) == 0)
+    counts = stored(some.mapInPandas(run, "h long").groupBy("h").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= COMMON))
+    if counts.count() > MOST:
+        sizes = counts.groupBy("n").agg(F.count(F.lit(1)).alias("k")).orderBy(F.desc("n")).toLocalIterator()
+        left, least = MOST, COMMON
+        for r in sizes:
+            left -= r["k"]
+            if left < 0:
+                least = r["n"] + 1
+                break
+        counts = counts.filter(F.col("n") >= least)
+    return np.sort(np.array([r["h"] for r in counts.select("h").toLocalIterator()], np.int64).view(np.uint64))
+
+
+def marks(own: np.ndarray) -> np.ndarray:
+    """Two words of 64 bits, in which each shingle sets one of the 128 bits by its hash."""
+    bits = np.zeros(128, np.uint8)
+    bits[(own & np.uint64(127)).astype(np.int64)] = 1
+    return np.packbits(bits, bitorder="little").view(np.uint64)
+
+
+def _digest(a: np.ndarray) -> bytes:
+    return hashlib.blake2b(a.tobytes(), digest_size=16).digest()
 
 
 def coded(docs: DataFrame, columns: list[str], text: str, n: int) -> DataFrame:
     """columns, digest of the set, its size, its fingerprint, its sketch and its prefix."""
     sent = docs.sparkSession.sparkContext.broadcast(common_shingles(docs, text, n))
 
-    @F.pandas_udf("digest binary, size long, fp long, sketch binary, prefix array<long>")
+    @F.pandas_udf("digest binary, size long, fp long, low long, high long, sketch binary, common binary, prefix array<long>")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for b in batches:
             hashes = [simhash.shingle_hashes(t, n) for t in b.tolist()]
             sets = [np.unique(h) for h in hashes]
+            first = [prefix(s, sent.value) for s in sets]
             yield pd.DataFrame({
-                "digest": [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets],
+                "digest": [_digest(s) for s in sets],
                 "size": [len(s) for s in sets],
                 "fp": np.array([simhash.majority(h) for h in hashes], np.uint64).view(np.int64),
+                **dict(zip(("low", "high"), np.array([marks(s) for s in sets], np.uint64).reshape(-1, 2).view(np.int64).T, strict=True)),
                 "sketch": [(s[:SKETCH] >> np.uint64(32)).astype("<u4").tobytes() for s in sets],
-                "prefix": [prefix(s, sent.value).view(np.int64) for s in sets],
+                "common": [_digest(c)[:12] if 2 * len(c) > len(s) else None for s, (_, c) in zip(sets, first, strict=True)],
+                "prefix": [p.view(np.int64) for p, _ in first],
             })
 
     return docs.select(*columns, run(F.col(text)).alias("_x")).select(*columns, "_x.*")
 
 
-def _sizes_allow(a: str, b: str) -> Column:
-    return 5 * F.least(a, b) >= 4 * F.greatest(a, b)
+def _may_reach(a: str, b: str, ahead: Column | None = None) -> Column:
+    """Whether sets may reach four fifths by size and marks (columns s, m, n with a suffix), and by what stands ahead of both.
+
+    A mark that one set has and the other lacks is a shingle, at least, that isn't common.
+    """
+    col = lambda x, of: F.col(f"{x}{of}")
+    left = lambda x, y: col("s", x) - F.bit_count(col("m", x).bitwiseAND(F.bitwise_not(col("m", y)))) - F.bit_count(col("n", x).bitwiseAND(F.bitwise_not(col("n", y))))
+    most = F.least(left(a, b), left(b, a), *([] if ahead is None else [ahead]))
+    return (9 * most >= 4 * (col("s", a) + col("s", b))) & (5 * F.least(col("s", a), col("s", b)) >= 4 * F.greatest(col("s", a), col("s", b)))
 
 
 def sketches_allow(x: bytes, y: bytes) -> bool:
@@ -153,13 +185,23 @@ def by_fingerprint(sets: Sets) -> DataFrame:
     return sets.similar(roots.filter("id <> component_id").select(F.col("component_id").alias("u"), F.col("id").alias("v")))
 
 
-def _in_runs(shared: DataFrame, found: DataFrame | None) -> tuple[DataFrame, float, float]:
+def by_sketch(sets: Sets, found: DataFrame) -> DataFrame:
+    """Links of sets that share some of their least shingles, or, where they are mostly of common ones, share these: each
+    with the least row of those that do."""
+    starts = F.array(*[F.struct(F.lit(i).alias("i"), F.substring("sketch", 4 * i + 1, 12).alias("k")) for i in range(4)])
+    starts = F.concat(starts, F.array(F.struct(F.lit(9).alias("i"), F.col("common").alias("k"))))
+    whole = F.filter(starts, lambda x: (x["i"] == 0) | (F.octet_length(x["k"]) == 12))
+    rows = sets.distinct.select(F.col(sets.row).alias("id"), F.explode(whole).alias("x")).select("id", "x.*")
+    leads = rows.groupBy("i", "k").agg(F.min_by("id", F.xxhash64("id")).alias("lead"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
+    new = sets.similar(rows.join(leads, ["i", "k"]).filter("id <> lead").select(F.col("lead").alias("u"), F.col("id").alias("v")).distinct())
+    return found.unionByName(new)
+
+
+def _in_runs(shared: DataFrame, found: DataFrame) -> tuple[DataFrame, float, float]:
     """Rows of runs (equal h) that hold several components, each with its root and whether it is of the run's largest
     component; the rows' number, and that of the pairs to be met: all of the others with the whole run."""
-    named = shared.withColumn("root", F.col("id"))
-    if found is not None:
-        roots = components(found).withColumnRenamed("node", "id")
-        named = shared.join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
+    roots = components(found).withColumnRenamed("node", "id")
+    named = shared.join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
     sizes = named.groupBy("h", "root").agg(F.count(F.lit(1)).alias("n"))
     runs = sizes.groupBy("h").agg(F.sum("n").alias("n"), F.max_by("root", F.struct("n", "root")).alias("main"), F.max("n").alias("most"), F.count(F.lit(1)).alias("roots"))
     runs = stored(runs.filter("roots > 1"))
@@ -167,47 +209,45 @@ def _in_runs(shared: DataFrame, found: DataFrame | None) -> tuple[DataFrame, flo
     return stored(named.join(runs.select("h", "main"), "h").withColumn("other", F.col("root") != F.col("main")).drop("main")), total["rows"] or 0, total["pairs"] or 0
 
 
-def links(sets: Sets, found: DataFrame | None = None) -> DataFrame:
-    """Links among the distinct sets, beside those found, that connect whatever is similar.
+def links(sets: Sets, found: DataFrame) -> DataFrame:
+    """Links among the distinct sets, with those found, that connect whatever is similar.
 
-    While there are many pairs to be met, and joining components still makes them fewer, each row is held against one
-    leader only; then all that is left are met.
+    While there are many pairs to be met, and joining components still makes them fewer, each row is held against a
+    few leaders only; then all that is left are met.
     """
-    rows = sets.distinct.select(F.col(sets.row).alias("id"), "size", F.posexplode("prefix").alias("pos", "h"))
-    shared = stored(rows.join(rows.groupBy("h").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("h"), "h"))
+    rows = sets.distinct.select(F.col(sets.row).alias("id"), F.col("size").alias("s"), F.col("low").alias("m"), F.col("high").alias("n"), F.posexplode("prefix").alias("pos", "h"))
+    shared = stored(rows.join(rows.groupBy("h").agg(F.count(F.lit(1)).alias("times")).filter("times > 1").select("h"), "h"))
     now, n_rows, n_pairs = _in_runs(shared, found)
     tried, before = 0, float("inf")
     while n_pairs > WIDE * n_rows and n_pairs < SHRINKS * before:
         tried, before = tried + 1, n_pairs
-        mixed = F.xxhash64(F.lit(tried), "h", "id")
-        lead = now.groupBy("h").agg(F.min(F.struct(mixed.alias("x"), F.col("id").alias("lead"), F.col("size").alias("lead_size"), F.col("root").alias("lead_root"))).alias("l")).select("h", "l.*")
-        met = now.join(lead, "h").filter((F.col("root") != F.col("lead_root")) & _sizes_allow("size", "lead_size"))
-        # of a row's leaders, the one that it shares the most first shingles with
-        often = met.groupBy("id", "lead").agg(F.count(F.lit(1)).alias("k"))
-        one = often.groupBy("id").agg(F.max_by("lead", F.struct("k", "lead")).alias("lead"))
-        new = sets.similar(one.select(F.least("id", "lead").alias("u"), F.greatest("id", "lead").alias("v")).distinct())
-        found = new if found is None else found.unionByName(new)
+        of_lead = [F.col(c).alias(f"{c}2") for c in ("id", "root", "s", "m", "n")]
+        # each order is the same in every run, so that rows alike get one leader by it
+        firsts = [F.min(F.struct(F.xxhash64(F.lit(tried * ORDERS + i), "id").alias("x"), F.lit(i).alias("i"), *of_lead)) for i in range(ORDERS)]
+        lead = now.groupBy("h").agg(F.array(*firsts).alias("leads"))
+        met = now.join(lead, "h").select("id", "root", "s", "m", "n", F.explode("leads").alias("l")).select("*", "l.*")
+        met = met.filter((F.col("root") != F.col("root2")) & _may_reach("", "2"))
+        # of a row's leaders by one order, the one that it shares the most first shingles with
+        often = met.groupBy("id", "i", "id2").agg(F.count(F.lit(1)).alias("k"))
+        one = often.groupBy("id", "i").agg(F.max_by("id2", F.struct("k", "id2")).alias("lead"))
+        found = found.unionByName(sets.similar(one.select(F.least("id", "lead").alias("u"), F.greatest("id", "lead").alias("v")).distinct()))
         now, n_rows, n_pairs = _in_runs(shared, found)
-    a = now.filter("other").select("h", F.col("id").alias("u"), F.col("size").alias("su"), F.col("pos").alias("pu"), F.col("root").alias("ru"))
-    b = now.select("h", F.col("id").alias("v"), F.col("size").alias("sv"), F.col("pos").alias("pv"), F.col("root").alias("rv"), "other")
-    met = a.join(b, "h").filter((F.col("ru") != F.col("rv")) & ((F.col("u") < F.col("v")) | ~F.col("other")) & _sizes_allow("su", "sv"))
-    # either side may be the first, as the same two may meet in a run where one is of the largest component
-    one, two = F.struct(F.col("u").alias("id"), F.col("su").alias("s"), F.col("pu").alias("p")), F.struct(F.col("v").alias("id"), F.col("sv").alias("s"), F.col("pv").alias("p"))
-    met = met.select(F.least(one, two).alias("a"), F.greatest(one, two).alias("b"))
-    counted = met.groupBy("a.id", "a.s", F.col("b.id").alias("v"), F.col("b.s").alias("sv")).agg(F.count(F.lit(1)).alias("k"), F.max("a.p").alias("pu"), F.max("b.p").alias("pv"))
-    # what is common up to the last common shingle of the prefixes is counted; behind it, at most the rest of the shorter tail
-    most = F.col("k") + F.least(F.col("s") - 1 - F.col("pu"), F.col("sv") - 1 - F.col("pv"))
-    rest = sets.similar(counted.filter(9 * most >= 4 * (F.col("s") + F.col("sv"))).select(F.col("id").alias("u"), "v"))
-    return rest if found is None else found.unionByName(rest)
+    side = lambda k: [F.col(c).alias(f"{c}{k}") for c in ("id", "root", "s", "m", "n", "pos")]
+    a, b = now.filter("other").select("h", *side(1)), now.select("h", *side(2), "other")
+    once = (F.col("id1") < F.col("id2")) | ~F.col("other")
+    # all that two sets have in common stands at or behind their first common shingle
+    ahead = 1 + F.least(F.col("s1") - 1 - F.col("pos1"), F.col("s2") - 1 - F.col("pos2"))
+    met = a.join(b, "h").filter((F.col("root1") != F.col("root2")) & once & _may_reach("1", "2", ahead))
+    return found.unionByName(sets.similar(met.select(F.least("id1", "id2").alias("u"), F.greatest("id1", "id2").alias("v")).distinct()))
 
 
 def groups(docs: DataFrame, row: str, name: str, text: str = "text", n: int = SHINGLE) -> DataFrame:
     """row (a distinct number), name and component_id, the smallest name of the row's group."""
     every = stored(coded(docs, [row, name], text, n))
     least = stored(every.groupBy("digest").agg(F.min(row).alias(row), F.min(name).alias("least")))
-    distinct = stored(every.select(row, "size", "fp", "sketch", "prefix").join(least.select(row), row, "left_semi"))
+    distinct = stored(every.select(row, "size", "fp", "low", "high", "sketch", "common", "prefix").join(least.select(row), row, "left_semi"))
     sets = Sets(distinct, docs, row, text, n)
-    roots = components(links(sets, by_fingerprint(sets)))
+    roots = components(links(sets, by_sketch(sets, by_fingerprint(sets))))
     named = stored(least.select("digest", "least", F.col(row).alias("node")).join(roots, "node", "left").select("digest", "least", F.coalesce("root", "node").alias("root")))
     first = named.groupBy("root").agg(F.min("least").alias("component_id"))
     labels = named.select("digest", "root").join(first, "root").select("digest", "component_id")
