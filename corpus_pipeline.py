@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioflow.llm import bpe, jaccard, lines, phrases, toxicity
-from folioflow.llm.common import stored, table
+from folioflow.llm.common import free, stored, table
 from folioflow.session import ship
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -32,8 +32,7 @@ def _shipped(stage: Stage) -> Stage:
 @_shipped
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose expected severity reaches the cut go."""
-    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
-    scored = toxicity.score(docs, model)
+    scored = toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
     return scored.filter(~F.col(scored.columns[-1])).select(*docs.columns)
 
 
@@ -41,25 +40,34 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_boilerplate_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines that exceed the boilerplate ratio of their source go; all documents stay, if only with an empty text."""
     out = lines.drop_boilerplate(docs, counts=True)
-    n_chars = F.when(F.col("n_dropped") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
+    n_chars = F.when(F.col(out.columns[-1]) > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
     return out.withColumn("n_chars", n_chars).select(*docs.columns)
 
 
+def _numbered(docs: DataFrame) -> tuple[DataFrame, str]:
+    """docs as a stored table with a number for each row, in a column of a name that docs hasn't."""
+    row = free("_row", docs.columns)
+    return stored(docs.withColumn(row, F.monotonically_increasing_id())), row
+
+
 @_shipped
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates (five-word shingles, Jaccard similarity 0.8 or more) the document with the smallest doc_id stays (null last, the first row on ties)."""
-    numbered = stored(docs.select(*docs.columns, F.monotonically_increasing_id().alias("_row")))
-    ranked = numbered.select("text", "_row", F.struct(F.col("doc_id").isNull().alias("unnamed"), F.col("doc_id"), F.col("_row")).alias("name"))
-    copies = jaccard.groups(ranked, "_row", "name").filter("name <> component_id").select("_row")
-    return numbered.join(copies, "_row", "left_anti").select(*docs.columns)
+    """Of each group of near-duplicates (five-word shingles, similarity 0.8 or more) the document with the smallest doc_id stays.
+
+    A null doc_id comes last; of equal ones the first row counts. SimHash finds most links, exact comparison the rest.
+    """
+    numbered, row = _numbered(docs)
+    name = F.struct(F.col("doc_id").isNull().alias("unnamed"), F.col("doc_id"), F.col(row).alias("row")).alias("name")
+    copies = jaccard.groups(numbered.select("text", row, name), row, "name").filter("name <> component_id").select(row)
+    return numbered.join(copies, row, "left_anti").select(*docs.columns)
 
 
 @_shipped
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that benchmark passages cover by a twentieth or more go."""
-    numbered = stored(docs.select(*docs.columns, F.monotonically_increasing_id().alias("_row")))
-    found = phrases.contamination(numbered, table(spark, sf_dir, "benchmark"), key="_row").filter("contaminated").select("_row")
-    return numbered.join(found, "_row", "left_anti").select(*docs.columns)
+    numbered, row = _numbered(docs)
+    found = phrases.contamination(numbered.select(row, "text"), table(spark, sf_dir, "benchmark"), key=row).filter("contaminated").select(row)
+    return numbered.join(found, row, "left_anti").select(*docs.columns)
 
 
 @_shipped
