@@ -36,3 +36,8 @@ FIELDS = {
     "DATE": r"(?i)(?:(?:tháng\s*)?\d{1,2}\s*(?:/|năm)\s*)?(?:19|20)\d{2}(?:\s*[-–—~]\s*(?:(?:tháng\s*)?\d{1,2}\s*(?:/|năm)\s*)?(?:(?:19|20)\d{2}|nay|hiện\s*(?:tại|nay)|present|now))?",
 }
 KEYWORDS = [(k, label) for label, ks in HEADINGS.items() for k in ks]
+# The Markdown form of a result.
+MARKDOWN_HEAD = "### %d. %s  _(trang %s, score %.2f, %s)_"
+MARKDOWN_EMPTY = "_(không có chữ)_"
+MARKDOWN_REST = "### ⚠️ Chữ không thuộc vùng nào"
+MARKDOWN_PAGE = "_Trang %d:_  \n"

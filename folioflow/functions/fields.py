@@ -38,6 +38,14 @@ def java(pattern: str) -> str:
     return "(?U)" + pattern
 
 
+def has_fields(text: Column) -> Column:
+    """Whether any pattern matches."""
+    found = F.lit(False)
+    for pattern in K.FIELDS.values():
+        found = found | text.rlike(java(pattern))
+    return found
+
+
 def count_fields(text: Column, label: str) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(java(K.FIELDS[label]))), F.lit(0)).cast("long")
 

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from xml.sax.saxutils import quoteattr
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import constants as K
 from ..functions import geometry as G
 from ..functions import text as T
 
@@ -31,10 +33,6 @@ def last_listed(annotations: Column) -> Column:
     return F.try_element_at(live(annotations), F.lit(-1))
 
 
-def latest_rows(rows: DataFrame, key: Sequence[str], order: Sequence[Column]) -> DataFrame:
-    return rows.withColumn("_k", F.row_number().over(Window.partitionBy(*key).orderBy(*order))).filter("_k = 1").drop("_k")
-
-
 def task_boxes(tasks: DataFrame, classes: dict[str, int]) -> DataFrame:
     """One row per annotated box: task id, item_index, class_id (null if unknown), rotated, yolo (null if dropped)."""
     r = tasks.select("id", F.explode(newest(F.col("annotations"))["result"]).alias("r"))
@@ -48,13 +46,20 @@ def box_counters(boxes: DataFrame) -> DataFrame:
     return boxes.agg(F.count_if(F.col("class_id").isNull()).alias("unknown"), F.count_if(F.col("class_id").isNotNull() & F.col("yolo").isNull()).alias("dropped"), F.count_if(F.col("rotated")).alias("rotated"), F.count_if(F.col("class_id").isNotNull() & F.col("yolo").isNotNull()).alias("written"))
 
 
-def page_urls(data: Column) -> Column:
-    """From a map of fields (JSON texts): the first list of strings, else the first text that looks like an image."""
-    entries = F.map_entries(data)
-    lists = F.filter(entries, lambda e: e["value"].rlike(r"^\s*\["))
-    images = F.filter(entries, lambda e: e["value"].rlike(r"(?i)\.(png|jpe?g|bmp|tiff?|webp)(\?.*)?$"))
-    first = F.from_json(F.get(lists, F.lit(0))["value"], "array<string>")
-    return F.when(F.size(lists) > 0, first).when(F.size(images) > 0, F.array(F.get(images, F.lit(0))["value"]))
+def page_urls(data: Column, key: str | None = None) -> Column:
+    """URLs of a task's pages, from a map of fields (JSON texts).
+
+    The named field, as a list or one text; else the first list that begins with a text; else the first text that names an
+    image or lies under /data/; null where there is none.
+    """
+    texts = lambda v: F.when(v.rlike(r"^\s*\["), F.from_json(v, "array<string>")).when(v.isNotNull(), F.array(v))
+    if key is not None:
+        return texts(F.try_element_at(data, F.lit(key)))
+    values = F.map_values(data)
+    lists = F.filter(values, lambda v: v.rlike(r'^\s*\[\s*"'))
+    image = "(?i)\\.(" + "|".join(K.IMAGE_EXTENSIONS) + ")$"
+    single = F.filter(values, lambda v: ~v.rlike(r"^\s*[\[{]") & (T.url_file(v).rlike(image) | F.contains(v, F.lit("/data/"))))
+    return F.when(F.size(lists) > 0, F.from_json(F.get(lists, F.lit(0)), "array<string>")).when(F.size(single) > 0, F.array(F.get(single, F.lit(0))))
 
 
 def resolve(urls: DataFrame, files: DataFrame) -> DataFrame:
@@ -83,30 +88,87 @@ def to_results(dets: DataFrame) -> DataFrame:
 
 
 def task_scores(tasks: DataFrame, results: DataFrame, key: str) -> DataFrame:
-    """key, score: the mean score of a task's boxes, 0 without any. Ascending is least confident first."""
-    means = results.groupBy(key).agg(F.avg("score").alias("score"))
+    """key, score: the mean score of a task's boxes to four decimals, 0 without any."""
+    means = results.groupBy(key).agg(F.bround(F.avg("score"), 4).alias("score"))
     return tasks.select(key).distinct().join(means, key, "left").na.fill(0.0, ["score"])
 
 
-def prediction_tasks(results: DataFrame, key: str, version: str) -> DataFrame:
-    """One JSON task per key with its predictions in order."""
-    item = F.struct(F.lit("label").alias("from_name"), F.lit("page").alias("to_name"), F.lit("rectanglelabels").alias("type"), F.col("item_index"), F.struct("value.*", F.lit(0).alias("rotation"), F.array("label").alias("rectanglelabels")).alias("value"), F.round("score", 4).alias("score"))
-    tasks = results.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("item_index", "idx", item.alias("r")))).alias("rs"), F.avg("score").alias("score"))
-    body = F.struct(F.lit(version).alias("model_version"), F.round("score", 4).alias("score"), F.transform("rs", lambda x: x["r"]).alias("result"))
-    return tasks.select(key, F.to_json(F.struct(F.struct(F.col(key).alias("key")).alias("data"), F.array(body).alias("predictions"))).alias("task"))
+def least_confident_first(scores: DataFrame, key: str) -> DataFrame:
+    """scores with rank (from 1): the order in which tasks are to be labelled, ties by key."""
+    from .hygiene import number_rows
+
+    return number_rows(scores, [F.col("score"), F.col(key)], "rank")
+
+
+def prediction_tasks(pages: DataFrame, results: DataFrame, key: str, version: str, config: dict[str, str | bool]) -> DataFrame:
+    """key and value: one JSON task per key, with the URLs of its pages and its predictions in order.
+
+    pages: key, item_index, url; results: key, item_index, idx, label, score, width, height, value (percent).
+    config: from_name, to_name, value_key, multipage of the labelling configuration.
+    """
+    many, names = bool(config["multipage"]), [F.lit(config[n]).alias(n) for n in ("from_name", "to_name")]
+    value = F.struct("value.*", F.lit(0).alias("rotation"), F.array("label").alias("rectanglelabels"))
+    item = F.struct(
+        F.substring(F.sha2(F.concat_ws(":", F.col(key).cast("string"), "item_index", "idx"), 256), 1, 10).alias("id"), *names, F.lit("rectanglelabels").alias("type"),
+        F.col("width").alias("original_width"), F.col("height").alias("original_height"), F.lit(0).alias("image_rotation"),
+        value.alias("value"), F.bround("score", 4).alias("score"), *(["item_index"] if many else []),
+    )
+    ordered = F.transform(F.array_sort(F.collect_list(F.struct("item_index", "idx", item.alias("r")))), lambda x: x["r"])
+    found = results.groupBy(key).agg(ordered.alias("result"), F.bround(F.avg("score"), 4).alias("score"))
+    urls = F.transform(F.array_sort(F.collect_list(F.struct("item_index", "url"))), lambda x: x["url"])
+    tasks = pages.groupBy(key).agg(urls.alias("urls")).join(found, key, "left")
+    data = F.struct((F.col("urls") if many else F.get("urls", F.lit(0))).alias(str(config["value_key"])), F.col(key).alias("cv_name"))
+    none = F.array().cast(dict(found.dtypes)["result"])
+    body = F.struct(F.lit(version).alias("model_version"), F.coalesce("score", F.lit(0.0)).alias("score"), F.coalesce("result", none).alias("result"))
+    return tasks.select(key, F.to_json(F.struct(data.alias("data"), F.array(body).alias("predictions"))).alias("value"))
+
+
+def first_pages(files: DataFrame, key: str = "group") -> DataFrame:
+    """key, page, path: of several files of one page the first (by idx); pages in order make a task."""
+    return files.groupBy(key, "page").agg(F.min_by("path", "idx").alias("path"))
+
+
+def missing_labels(model: DataFrame, mapped: DataFrame, config: DataFrame) -> DataFrame:
+    """Labels (column label) of a model that neither a label map nor the labelling configuration knows."""
+    return model.select("label").subtract(mapped.select("label").union(config.select("label")))
 
 
 def build_label_config(classes: Sequence[str], multipage: bool = True, name: str = "label", to: str = "page", value: str = "pages") -> str:
-    source = f'valueList="${value}"' if multipage else f'value="${value}"'
-    labels = "".join(f'<Label value="{c}"/>' for c in classes)
-    return f'<View><Image name="{to}" {source}/><RectangleLabels name="{name}" toName="{to}">{labels}</RectangleLabels></View>'
+    """The labelling configuration as XML, names quoted as attributes."""
+    q = quoteattr
+    source = f"{'valueList' if multipage else 'value'}={q('$' + value)}"
+    labels = "".join(f"<Label value={q(c)}/>" for c in classes)
+    return f"<View><Image name={q(to)} {source}/><RectangleLabels name={q(name)} toName={q(to)}>{labels}</RectangleLabels></View>"
 
 
 def parse_label_config(xml: Column) -> Column:
-    """from_name, to_name, value key, multipage and labels of a labelling configuration."""
+    """from_name, to_name, value key, multipage and labels of a labelling configuration.
+
+    One without RectangleLabels, or whose image it doesn't name, is an error.
+    """
     one = lambda p: F.get(F.xpath(xml, F.lit(p)), F.lit(0))
-    many = one("//Image/@valueList")
-    return F.struct(one("//RectangleLabels/@name").alias("from_name"), one("//RectangleLabels/@toName").alias("to_name"), F.regexp_replace(F.coalesce(many, one("//Image/@value")), r"^\$", "").alias("value_key"), many.isNotNull().alias("multipage"), F.xpath(xml, F.lit("//RectangleLabels/Label/@value")).alias("labels"))
+    to = F.trim(F.get(F.split(F.coalesce(one("(//RectangleLabels)[1]/@toName"), F.lit("")), ","), F.lit(0)))
+    names = F.xpath(xml, F.lit("//Image/@name"))
+    place = F.array_position(names, to)
+    # one attribute of each image, in order: the n-th image is asked for by its name's place
+    def of_image(attribute: str) -> Column:
+        found = F.lit(None).cast("string")
+        for i in range(8, 0, -1):
+            found = F.when(place == i, one(f"(//Image[@name])[{i}]/@{attribute}")).otherwise(found)
+        return found
+
+    many = F.nullif(of_image("valueList"), F.lit(""))
+    key = F.regexp_replace(F.coalesce(many, of_image("value"), F.lit("")), r"^\$+", "")
+    tags = F.xpath_int(xml, F.lit("count(//RectangleLabels)"))
+    result = F.struct(
+        one("(//RectangleLabels)[1]/@name").alias("from_name"), to.alias("to_name"), key.alias("value_key"), many.isNotNull().alias("multipage"),
+        F.filter(F.xpath(xml, F.lit("(//RectangleLabels)[1]//Label/@value")), lambda v: v != "").alias("labels"),
+    )
+    wrong = F.when(tags == 0, F.lit("the labelling configuration has no RectangleLabels")).when(place == 0, F.concat(F.lit("no Image is named "), to))
+    return F.when(wrong.isNotNull(), F.raise_error(wrong).cast(_CONFIG)).otherwise(result)
+
+
+_CONFIG = "struct<from_name:string,to_name:string,value_key:string,multipage:boolean,labels:array<string>>"
 
 
 def model_compare(regions: DataFrame, sections: DataFrame, leftover: DataFrame) -> DataFrame:

@@ -30,17 +30,32 @@ def content_duplicates(texts: DataFrame, skip: DataFrame | None = None) -> DataF
 
 
 def empty_texts(texts: DataFrame) -> DataFrame:
+    """Paths of texts of which nothing is left to compare."""
     return texts.filter(T.content_hash(F.col("text")).isNull()).select("path")
 
 
-def number_rows(df: DataFrame, order: Sequence[Column], into: str = "n", buckets: int = 256) -> DataFrame:
-    """Numbers rows from 1 in a global order without one task: range-partitioned, with each partition's count added up."""
-    ordered = df.repartitionByRange(*order).withColumn("_p", F.spark_partition_id())
+def number_rows(df: DataFrame, order: Sequence[Column], into: str = "n", buckets: int | None = None) -> DataFrame:
+    """Numbers rows from 1 in a global order without one task: range-partitioned, with each partition's count added up.
+
+    The number of ranges is given, so that both uses of the ranged rows are dealt alike whatever is coalesced at run time.
+    """
+    buckets = buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ordered = df.repartitionByRange(buckets, *order).withColumn("_p", F.spark_partition_id())
     counts = ordered.groupBy("_p").agg(F.count(F.lit(1)).alias("_c"))
     before = counts.withColumn("_b", F.coalesce(F.sum("_c").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_c")
     return ordered.join(F.broadcast(before), "_p").withColumn(into, F.row_number().over(Window.partitionBy("_p").orderBy(*order)) + F.col("_b")).drop("_p", "_b")
 
 
+def first_pages_of(pages: DataFrame, most: int) -> DataFrame:
+    """Pages (doc, page from 0) before the limit of a document; the limit is the feature."""
+    return pages.filter(F.col("page") < most)
+
+
+def sample_rows(rows: DataFrame, key: str, n: int, seed: int) -> DataFrame:
+    """n rows by the order of a seeded hash of the key, the same ones on every run; the number is the feature."""
+    return rows.orderBy(hash_order(F.col(key).cast("string"), seed), key).limit(n)
+
+
 def plan_renames(names: DataFrame, prefix: str, renumber: bool = False) -> DataFrame:
     """name and new_name: names not yet of the form <prefix>_<n> follow the highest n in natural order."""
     n = F.regexp_extract("name", rf"(?i)^{prefix}_(\d{{1,9}})$", 1)

@@ -227,17 +227,24 @@ def merge_same_row(lines: DataFrame, keys: Sequence[str], max_gap: float = 6.0)
     return merged.withColumn("idx", F.row_number().over(Window.partitionBy(*keys).orderBy("_at")) - 1).drop("_at")
 
 
-def column_split(lines: DataFrame, keys: Sequence[str], width: float, min_gap: float = 0.25) -> DataFrame:
-    """keys and split: the leftmost x that fewest lines cross, where both columns are real; pages without one are absent."""
-    n = Window.partitionBy(*keys)
-    xs = F.explode(F.sequence(F.lit(int(width * min_gap)), F.lit(int(width * (1 - min_gap)) - 1)))
-    crossed = lines.withColumn("_n", F.count(F.lit(1)).over(n)).withColumn("x", xs)
-    counts = crossed.groupBy(*keys, "x").agg(
-        F.count_if((F.col("bbox.x0") < F.col("x")) & (F.col("x") < F.col("bbox.x1"))).alias("crossings"),
-        F.count_if(F.col("bbox.x1") <= F.col("x")).alias("left"), F.count_if(F.col("bbox.x0") >= F.col("x")).alias("right"), F.max("_n").alias("n"),
-    )
-    best = counts.withColumn("_k", F.row_number().over(n.orderBy("crossings", "x"))).filter("_k = 1 AND crossings < n")
-    return best.filter((F.least("left", "right") >= 3) & (F.col("crossings") <= 0.15 * F.col("n"))).select(*keys, F.col("x").alias("split"), "crossings")
+def column_split(lines: DataFrame, keys: Sequence[str], width: float | str, min_gap: float = 0.25) -> DataFrame:
+    """keys and split: the leftmost whole x that fewest lines cross, where both columns are real; pages without one are absent.
+
+    width: of all pages, or the column that holds it. Crossings only fall where a line ends, so the middle part's first x
+    and the lines' right ends are all that can be the leftmost best.
+    """
+    wide = F.max(width) if isinstance(width, str) else F.max(F.lit(width))
+    pages = lines.groupBy(*keys).agg(F.collect_list(F.struct(F.col("bbox.x0").alias("a"), F.col("bbox.x1").alias("z"))).alias("b"), wide.alias("w"))
+    low, high = F.floor(F.col("w") * min_gap).cast("long"), F.floor(F.col("w") * (1 - min_gap)).cast("long")
+    ends = F.transform("b", lambda x: F.ceil(x["z"]).cast("long"))
+    pages = pages.withColumn("xs", F.array_distinct(F.concat(F.array(low), F.filter(ends, lambda x: (x > low) & (x < high)))))
+    count = lambda test: F.size(F.filter("b", test)).cast("long")
+    tried = F.transform("xs", lambda x: F.struct(
+        count(lambda v: (v["a"] < x) & (x < v["z"])).alias("crossings"), x.alias("split"), count(lambda v: v["z"] <= x).alias("left"), count(lambda v: v["a"] >= x).alias("right")
+    ))
+    best = pages.select(*keys, F.size("b").alias("n"), F.array_min(tried).alias("t")).select(*keys, "n", "t.*")
+    real = (F.col("crossings") < F.col("n")) & (F.least("left", "right") >= 3) & (F.col("crossings") <= 0.15 * F.col("n"))
+    return best.filter(real).select(*keys, "split", "crossings")
 
 
 def band_order(lines: DataFrame, splits: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -68,26 +68,20 @@ def label_list(spans: DataFrame) -> DataFrame:
     return both.select((F.row_number().over(Window.orderBy("type", "label")) - 1).alias("label_id"), "label")
 
 
-def pack_words(pieces: Sequence[int], budget: int, prefix: int) -> list[int]:
-    """Chunk number of each word: words fill a chunk while their piece counts fit; a word too long has its own."""
-    out, chunk, used = [], -1, budget + 1
-    for n in pieces:
-        if used + n > budget:
-            chunk, used = chunk + 1, prefix
-        used += n
-        out.append(chunk)
-    return out
+def chunk_starts(pieces: Column, budget: int, prefix: int | Column) -> Column:
+    """The first word (from 0) of each chunk, by an array of the words' numbers of pieces.
 
+    Words fill a chunk of ``budget`` pieces, of which ``prefix`` are taken at its start; a word too long has its own chunk.
+    """
+    pre = F.lit(prefix) if isinstance(prefix, int) else prefix
+    none = F.struct(F.lit(0).alias("at"), F.lit(budget + 1).alias("used"), F.array().cast("array<int>").alias("out"))
 
-def chunk_starts(budget: int, prefix: int):  # noqa: ANN201
-    """pack_words as a function of a column of piece counts."""
+    def step(acc: Column, n: Column) -> Column:
+        opens = acc["used"] + n > budget
+        used = F.when(opens, pre + n).otherwise(acc["used"] + n).cast("int")
+        return F.struct((acc["at"] + 1).alias("at"), used.alias("used"), F.when(opens, F.concat(acc["out"], F.array(acc["at"]))).otherwise(acc["out"]).alias("out"))
 
-    @F.pandas_udf(T.ArrayType(T.IntegerType()))
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for b in batches:
-            yield b.map(lambda x: pack_words(x, budget, prefix) if x is not None else None)
-
-    return run
+    return F.aggregate(pieces, none, step, lambda acc: acc["out"])
 
 
 def pad(ids: Column, length: Column, value: int = 0) -> Column:
@@ -98,4 +92,14 @@ def attention(ids: Column, length: Column) -> Column:
     return F.concat(F.array_repeat(F.lit(1), F.least(F.size(ids), length)), F.array_repeat(F.lit(0), F.greatest(length - F.size(ids), F.lit(0))))
 
 
-__all__ = ["attention", "bio_tags", "chunk_starts", "entity_scores", "islands", "label_list", "pack_words", "pad", "spans_of", "tokenize", "word_tokens"]
+def encode_chunk(pieces: Column, tags: Column, first: int, last: int, longest: int) -> Column:
+    """input_ids, word_index, tags of a chunk: its words' piece ids (an array for each word) between two marks, cut to
+    ``longest`` ids; words whose first piece is cut off lose their tag."""
+    ids = F.concat(F.slice(F.concat(F.array(F.lit(first)), F.flatten(pieces)), 1, longest - 1), F.array(F.lit(last)))
+    sizes = F.transform(pieces, F.size)
+    starts = F.aggregate(sizes, F.array(F.lit(1)), lambda acc, n: F.concat(acc, F.array(F.element_at(acc, -1) + n)))
+    starts = F.filter(F.slice(starts, F.lit(1), F.size(pieces)), lambda i: i < longest - 1)
+    return F.struct(ids.alias("input_ids"), starts.alias("word_index"), F.slice(tags, F.lit(1), F.size(starts)).alias("tags"))
+
+
+__all__ = ["attention", "bio_tags", "chunk_starts", "encode_chunk", "entity_scores", "islands", "label_list", "pad", "spans_of", "tokenize", "word_tokens"]

@@ -6,15 +6,19 @@ import difflib
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from ..functions import constants as K
 from ..functions import fields as R
+from ..functions import geometry as G
 from ..functions import text as T
 from .layout import per_group, side_headings
 
+#: (folded heading, label), in the order that decides ties.
+Keywords = Sequence[tuple[str, str]]
+
 
 def strip_headers_footers(lines: DataFrame, pages: DataFrame, doc: Sequence[str], margin: float = 0.07) -> DataFrame:
     """Drops page numbers, and lines that most pages repeat, where they stand in a page's upper or lower margin.
@@ -69,48 +73,58 @@ def looks_like_heading(text: Column, size: Column, bold: Column, body: Column) -
     return shaped & ((size > body + K.HEADING_SIZE_MARGIN) | bold | T.is_upper(text))
 
 
-def match_exact(folded: Column) -> Column:
+def load_keywords(labels: dict[str, Sequence[str]], spark: SparkSession) -> Keywords:
+    """A user's dictionary (label -> headings, in order), folded as texts are."""
+    rows = [(i, k, label) for i, (k, label) in enumerate((k, label) for label, ks in labels.items() for k in ks)]
+    folded = spark.createDataFrame(rows, "i int, k string, label string").select("i", T.fold(F.col("k")).alias("k"), "label")
+    return [(r["k"], r["label"]) for r in folded.orderBy("i").collect()]  # as many rows as the dictionary has
+
+
+def match_exact(folded: Column, keywords: Keywords = K.KEYWORDS) -> Column:
     """The label by whole keywords, NULL if none is accepted; the keywords are literals, so no join is needed."""
-    hits = F.array(*[F.struct(F.locate(f" {k} ", F.concat(F.lit(" "), folded, F.lit(" "))).alias("at"), F.lit(-len(k)).alias("n"), F.lit(k).alias("k"), F.lit(label).alias("label")) for k, label in K.KEYWORDS])
+    hits = F.array(*[F.struct(F.locate(f" {k} ", F.concat(F.lit(" "), folded, F.lit(" "))).alias("at"), F.lit(-len(k)).alias("n"), F.lit(k).alias("k"), F.lit(label).alias("label")) for k, label in keywords])
     hits = F.filter(hits, lambda h: h["at"] > 0)
     best, words = F.array_min(hits), T.tokens(folded)
     starts = (best["at"] == 1) & (F.size(words) <= F.size(T.tokens(best["k"])) + 2)
     covered = F.concat(F.flatten(F.transform(hits, lambda h: F.split(h["k"], " "))), F.array(*map(F.lit, K.CONNECTORS)))
     accepted = starts | (F.size(F.array_except(words, covered)) == 0)
-    compact = F.create_map(*[F.lit(x) for k, label in {k.replace(" ", ""): lab for k, lab in reversed(K.KEYWORDS)}.items() for x in (k, label)])
+    compact = F.create_map(*[F.lit(x) for k, label in {k.replace(" ", ""): lab for k, lab in reversed(keywords)}.items() for x in (k, label)])
     spaced = F.when(T.letter_spaced(folded), F.try_element_at(compact, F.replace(folded, F.lit(" "), F.lit(""))))
     return F.when(folded == "", None).otherwise(F.coalesce(spaced, F.when((F.size(hits) > 0) & accepted, best["label"])))
 
 
-def has_keyword(folded: Column) -> Column:
+def has_keyword(folded: Column, keywords: Keywords = K.KEYWORDS) -> Column:
     padded = F.concat(F.lit(" "), folded, F.lit(" "))
-    return F.exists(F.array(*[F.lit(f" {k} ") for k, _ in K.KEYWORDS]), lambda k: F.contains(padded, k))
+    return F.exists(F.array(*[F.lit(f" {k} ") for k, _ in keywords]), lambda k: F.contains(padded, k))
 
 
-def closest_keyword(t: str, least: float = K.HEADING_FUZZY_RATIO) -> str | None:
+def closest_keyword(t: str, least: float = K.HEADING_FUZZY_RATIO, keywords: Keywords = K.KEYWORDS) -> str | None:
     """The label of the most similar keyword (Ratcliff-Obershelp), if similar enough; the first on ties."""
-    ratios = [difflib.SequenceMatcher(None, t, k).ratio() for k, _ in K.KEYWORDS]
-    top = max(ratios)
-    return K.KEYWORDS[ratios.index(top)][1] if top >= least else None
+    ratios = [difflib.SequenceMatcher(None, t, k).ratio() for k, _ in keywords]
+    top = max(ratios, default=0.0)
+    return keywords[ratios.index(top)][1] if ratios and top >= least else None
+
 
+def match_fuzzy(folded: Column, keywords: Keywords = K.KEYWORDS) -> Column:
+    @F.pandas_udf(StringType())
+    def run(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for s in texts:
+            yield s.map(lambda t: closest_keyword(t, keywords=keywords) if t else None).astype(object)
 
-@F.pandas_udf(StringType())
-def match_fuzzy(folded: Iterator[pd.Series]) -> Iterator[pd.Series]:
-    for s in folded:
-        yield s.map(lambda t: closest_keyword(t) if t else None).astype(object)
+    return run(folded)
 
 
-def match_label(folded: Column) -> Column:
+def match_label(folded: Column, keywords: Keywords = K.KEYWORDS) -> Column:
     """Exact keywords first; only a text without any keyword is compared by similarity."""
-    ask = F.when(~has_keyword(folded) & (folded != ""), folded)
-    return F.coalesce(match_exact(folded), match_fuzzy(ask))
+    ask = F.when(~has_keyword(folded, keywords) & (folded != ""), folded)
+    return F.coalesce(match_exact(folded, keywords), match_fuzzy(ask, keywords))
 
 
 def style(text: Column, size: Column, bold: Column) -> Column:
     return F.struct(F.bround(size).cast("int").alias("size"), bold.alias("bold"), T.is_upper(text).alias("upper"))
 
 
-def style_vote(cands: DataFrame, doc: Sequence[str]) -> DataFrame:
+def style_vote(cands: DataFrame, doc: Sequence[str], keywords: Keywords = K.KEYWORDS) -> DataFrame:
     """Which heading candidates (doc, ord, folded, label, style) stay, with their label.
 
     Where labelled candidates share a style, one with a style of its own must be a keyword; candidates in the most
@@ -121,20 +135,21 @@ def style_vote(cands: DataFrame, doc: Sequence[str]) -> DataFrame:
     rows = cands.withColumn("_n", F.sum(F.when(found, 1).otherwise(0)).over(by_style)).withColumn("_top", F.max("_n").over(by_doc))
     first = F.min(F.when(found & (F.col("_n") == F.col("_top")), F.col("ord"))).over(by_doc)
     rows = rows.withColumn("_head", F.max(F.when(F.col("ord") == first, F.col("style"))).over(by_doc))
-    exact = F.col("folded").isin([k for k, _ in K.KEYWORDS])
+    exact = F.col("folded").isin([k for k, _ in keywords])
     kept = found & ((F.col("_top") < 2) | (F.col("_n") >= 2) | exact)
     padded = F.concat("folded", F.lit(" "))
-    begins = F.filter(F.array(*[F.struct(F.lit(f"{k} ").alias("k"), F.lit(label).alias("label")) for k, label in K.KEYWORDS]), lambda x: F.startswith(padded, x["k"]))
+    begins = F.filter(F.array(*[F.struct(F.lit(f"{k} ").alias("k"), F.lit(label).alias("label")) for k, label in keywords]), lambda x: F.startswith(padded, x["k"]))
     rescued = F.when(~kept & (F.col("_top") >= 2) & (F.col("style") == F.col("_head")) & (F.size(begins) > 0), F.element_at(begins, -1)["label"])
     rows = rows.withColumn("label", F.when(kept, F.col("label")).otherwise(rescued)).filter("label IS NOT NULL")
     return rows.withColumn("_r", F.count(F.lit(1)).over(Window.partitionBy(*doc, "folded"))).filter("_r = 1").drop("_n", "_top", "_head", "_r")
 
 
-def find_headings(lines: DataFrame, doc: Sequence[str]) -> DataFrame:
-    """Heading lines of lines (doc, ord, text, size, bold) with their label."""
+def find_headings(lines: DataFrame, doc: Sequence[str], keywords: Keywords = K.KEYWORDS) -> DataFrame:
+    """Heading lines of lines (doc, ord, text, size, bold) with their label. Distinct folded texts are looked up once."""
     rows = lines.join(body_size(lines, doc), list(doc)).filter(looks_like_heading(F.col("text"), F.col("size"), F.col("bold"), F.col("body")))
-    rows = rows.withColumn("folded", T.fold(F.col("text"))).withColumn("style", style(F.col("text"), F.col("size"), F.col("bold"))).withColumn("label", match_label(F.col("folded")))
-    return style_vote(rows, doc).select(*doc, "ord", "label")
+    rows = rows.withColumn("folded", T.fold(F.col("text"))).withColumn("style", style(F.col("text"), F.col("size"), F.col("bold")))
+    labels = rows.select("folded").distinct().withColumn("label", match_label(F.col("folded"), keywords))
+    return style_vote(rows.join(labels, "folded"), doc, keywords).select(*doc, "ord", "label")
 
 
 def name_line(lines: DataFrame, doc: Sequence[str]) -> DataFrame:
@@ -192,25 +207,37 @@ def label_lines(lines: DataFrame, doc: Sequence[str]) -> DataFrame:
     return per_group(lines, doc, "ord", "label string, heading_text string", work)
 
 
+def rounded_box(b: Column) -> Column:
+    """To one decimal, half to even."""
+    return F.struct(*[F.bround(b[c], 1).alias(c) for c in ("x0", "y0", "x1", "y1")])
+
+
 def run_grouping(lines: DataFrame, doc: Sequence[str]) -> DataFrame:
-    """Consecutive lines of one label, heading and page as one section: text, envelope, number of lines."""
+    """Consecutive lines of one label, heading and page as one section: text, envelope (to one decimal), number of lines."""
     w = Window.partitionBy(*doc).orderBy("ord")
     body = lines.filter("label IS NOT NULL")
     same = F.lit(True)
     for c in ("label", "heading_text", "page"):
         same &= F.col(c) == F.lag(c).over(w)
     runs = islands(body, doc, ["ord"], ~same, "section_id")
-    return runs.groupBy(*doc, "section_id", F.col("label").alias("section_label"), "heading_text", "page").agg(
+    grouped = runs.groupBy(*doc, "section_id", F.col("label").alias("section_label"), "heading_text", "page").agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("ord", "text"))), lambda x: x["text"]), "\n").alias("text"),
-        F.struct(F.min("bbox.x0").alias("x0"), F.min("bbox.y0").alias("y0"), F.max("bbox.x1").alias("x1"), F.max("bbox.y1").alias("y1")).alias("bbox"), F.count(F.lit(1)).alias("n_lines"),
+        G.envelope(F.col("bbox")).alias("bbox"), F.count(F.lit(1)).alias("n_lines"),
     )
+    return grouped.withColumn("bbox", rounded_box(F.col("bbox")))
 
 
-def parse_documents(lines: DataFrame, doc: Sequence[str] = ("doc",)) -> DataFrame:
-    """Labelled sections of documents' lines (doc, ord, page, text, bbox, size, bold, col)."""
-    heads = find_headings(lines, doc).select(*doc, "ord", F.col("label").alias("heading"))
+def parse_documents(lines: DataFrame, doc: Sequence[str] = ("doc",), keywords: Keywords = K.KEYWORDS, source: str = "pdf") -> DataFrame:
+    """Labelled sections of documents' lines (doc, ord, page, text, bbox, size, bold, col), with their source.
+
+    Only pages have side headings and places: with source "docx" lines keep their order, and sections have no box.
+    """
+    heads = find_headings(lines, doc, keywords).select(*doc, "ord", F.col("label").alias("heading"))
     rows = lines.join(heads, [*doc, "ord"], "left").withColumn("is_heading", F.col("heading").isNotNull())
-    rows = side_headings(rows, doc).withColumn("fields", R.find_fields("text"))
+    rows = side_headings(rows, doc) if source == "pdf" else rows
+    # offsets are taken only where a pattern matches at all, which is seldom
+    rows = rows.withColumn("fields", F.when(R.has_fields(F.col("text")), R.find_fields(F.when(R.has_fields(F.col("text")), F.col("text")))).otherwise(F.array().cast(R.SCHEMA)))
     rows = rows.withColumn("has_field", F.exists("fields", lambda f: f["label"] != "DATE")).withColumn("contact_only", R.is_contact_only(F.col("text"), F.col("fields"))).withColumn("folded", T.fold(F.col("text")))
     rows = rows.join(name_line(rows, doc), list(doc), "left").drop("fields")
-    return run_grouping(label_lines(rows, doc), doc)
+    out = run_grouping(label_lines(rows, doc), doc).withColumn("source", F.lit(source))
+    return out if source == "pdf" else out.withColumn("bbox", F.lit(None).cast(dict(out.dtypes)["bbox"]))

@@ -191,11 +191,6 @@ def weights_version(spark, d):
     return t(spark, d, "orders").select("o_orderkey", T.weights_version(F.col("o_orderpriority"), F.col("o_orderdate")).alias("version"))
 
 
-@query(None)
-def color_index(spark, d):
-    return t(spark, d, "part").select(F.col("p_brand").alias("label")).distinct().select("label", T.color_index(F.col("label")).alias("color"))
-
-
 @query("SELECT page_id, CASE WHEN e = 'pdf' THEN 'pdf' WHEN e IN ('" + "', '".join(K.IMAGE_EXTENSIONS) + "') THEN 'image' WHEN e IN ('" + "', '".join(K.OFFICE_EXTENSIONS) + r"') THEN 'office' END AS kind FROM (SELECT page_id, ['pdf', 'png', 'docx', 'txt', 'jpeg'][page_id % 5 + 1] AS e FROM pages)")
 def route_files(spark, d):
     ext = F.element_at(F.array(*map(F.lit, ["pdf", "PNG", "docx", "txt", "jpeg"])), (F.col("page_id") % 5 + 1).cast("int"))
@@ -218,17 +213,6 @@ def url_count(spark, d):
     return t(spark, d, "pages").select("page_id", R.count_fields(F.col("url"), "URL").alias("n"))
 
 
-@query(None)
-def phone_count(spark, d):
-    return t(spark, d, "documents").select("doc_id", R.count_fields(F.col("text"), "PHONE").alias("n"))
-
-
-@query("SELECT o_orderkey, 1::BIGINT AS n FROM orders")
-def date_count(spark, d):
-    text = F.concat(F.lit("since "), F.date_format("o_orderdate", "MM/yyyy"), F.lit(" - now"))
-    return t(spark, d, "orders").select("o_orderkey", R.count_fields(text, "DATE").alias("n"))
-
-
 @query(None)
 def find_fields(spark, d):
     rows = t(spark, d, "documents").select("doc_id", F.explode(R.find_fields("text")).alias("f"))
@@ -301,11 +285,11 @@ def unassigned_words(spark, d):
     return L.unassigned(w, L.assign_words(w, r, ["page"]), ["page"]).select("page", "word_idx")
 
 
-@query("SELECT source FROM (SELECT DISTINCT source FROM documents) ANTI JOIN (SELECT source FROM documents JOIN labels USING (doc_id) WHERE toxic = 1 AND doc_id % 3 = 0) USING (source)")
+@query("SELECT doc_id FROM (SELECT DISTINCT doc_id FROM documents) ANTI JOIN (SELECT doc_id FROM labels WHERE toxic = 1) USING (doc_id)")
 def labels_anti(spark, d):
-    docs = t(spark, d, "documents").select("doc_id", "source")
-    done = docs.join(t(spark, d, "labels").filter("toxic = 1 AND doc_id % 3 = 0"), "doc_id")
-    return A.without_labelled(docs.select("source").distinct(), done, "source")
+    docs = t(spark, d, "documents").select("doc_id")
+    done = t(spark, d, "labels").filter("toxic = 1")
+    return A.without_labelled(docs.distinct(), done, "doc_id")
 
 
 @query(f"WITH {BOXES} SELECT label, count(*) AS n FROM (SELECT CASE label WHEN 'N' THEN 'A' ELSE label END AS label FROM boxes) WHERE label IN ('A', 'X') GROUP BY label")
@@ -357,13 +341,6 @@ def band_order(spark, d):
     return L.band_order(c, L.column_split(c, ["page"], 80.0), ["page"]).select("page", "idx", "col", "ord")
 
 
-@query(None)
-def side_headings(spark, d):
-    c = _columns(spark, d)
-    rows = L.band_order(c, L.column_split(c, ["page"], 80.0), ["page"]).withColumn("is_heading", (F.col("col") == 1) & F.col("bold"))
-    return L.side_headings(rows.withColumn("doc", (F.col("page") / 4).cast("long")), ["doc"]).select("doc", "page", "idx", "col", "ord")
-
-
 @query(None)
 def xy_cut(spark, d):
     return L.reading_order(boxes(spark, d).select("page", "idx", "bbox", "width", "height"), ["page"]).select("page", "idx", "ord")
@@ -378,12 +355,6 @@ def build_lines(spark, d):
     return L.build_lines(_words(spark, d), ["page"]).select("page", "line_idx", "text", "bbox.*", "conf")
 
 
-@query(None)
-def merge_same_row(spark, d):
-    b = boxes(spark, d).select("page", "idx", F.col("label").alias("text"), "bbox", "size", "bold")
-    return L.merge_same_row(b, ["page"]).select("page", "idx", "text", "bbox.*", "size", "bold", "pieces")
-
-
 # Sections
 
 _MARGINS = rf"""{LINES}, k AS (SELECT *, trim(regexp_replace(lower(text), '\p{{Nd}}+', '#', 'g')) AS k, y1 <= 70 OR y0 >= (1 - 0.07) * 1000 AS m FROM lines),
@@ -462,17 +433,26 @@ def heading_candidates(spark, d):
 _KW = ", ".join(f"({i}, '{k}', '{label}')" for i, (k, label) in enumerate(K.KEYWORDS))
 
 
-@query(f"""WITH {STYLED}, kw(i, k, label) AS (VALUES {_KW}), f AS (SELECT DISTINCT {_FOLD} AS folded FROM styled WHERE ord % 7 = 3), h AS (SELECT folded, k, label, instr(' ' || folded || ' ', ' ' || k || ' ') AS p FROM f, kw WHERE contains(' ' || folded || ' ', ' ' || k || ' '))
-SELECT folded, label FROM h WHERE p = 1 QUALIFY row_number() OVER (PARTITION BY folded ORDER BY p, length(k) DESC, k) = 1""")
+_SHORT = "len(list_filter(string_split(folded, ' '), lambda x: length(x) <= 2))"
+_WORDS = "len(string_split(%s, ' '))"
+
+
+@query(f"""WITH {STYLED}, kw(i, k, label) AS (VALUES {_KW}), f AS (SELECT DISTINCT {_FOLD} AS folded FROM styled),
+h AS (SELECT folded, k, label, instr(' ' || folded || ' ', ' ' || k || ' ') AS p FROM f, kw WHERE contains(' ' || folded || ' ', ' ' || k || ' ')),
+best AS (SELECT * FROM h QUALIFY row_number() OVER (PARTITION BY folded ORDER BY p, length(k) DESC, k, label) = 1),
+cover AS (SELECT folded, list_concat(flatten(list(string_split(k, ' '))), ['{"', '".join(K.CONNECTORS)}']) AS ws FROM h GROUP BY folded),
+spaced AS (SELECT folded, kw.label FROM f JOIN kw ON replace(folded, ' ', '') = replace(k, ' ', '') WHERE {_WORDS % "folded"} > 2 AND 2 * {_SHORT} > {_WORDS % "folded"} QUALIFY row_number() OVER (PARTITION BY folded ORDER BY i) = 1),
+accepted AS (SELECT folded, label FROM best JOIN cover USING (folded) WHERE (p = 1 AND {_WORDS % "folded"} <= {_WORDS % "k"} + 2) OR len(list_filter(string_split(folded, ' '), lambda w: NOT list_contains(ws, w))) = 0)
+SELECT folded, coalesce(s.label, a.label) AS label FROM f LEFT JOIN spaced s USING (folded) LEFT JOIN accepted a USING (folded) WHERE folded <> '' AND coalesce(s.label, a.label) IS NOT NULL""")
 def match_label_exact(spark, d):
-    folded = _styled(spark, d).filter("ord % 7 = 3").select(T.fold(F.col("text")).alias("folded")).distinct()
+    folded = _styled(spark, d).select(T.fold(F.col("text")).alias("folded")).distinct()
     return folded.select("folded", S.match_exact(F.col("folded")).alias("label")).filter("label IS NOT NULL")
 
 
 @query(None)
 def match_label_fuzzy(spark, d):
-    kw = spark.createDataFrame([(k,) for k, _ in K.KEYWORDS], "k string")
-    return kw.select(F.concat(F.substring("k", 1, 3), F.substring("k", 5, 100)).alias("text")).select("text", S.match_label(F.col("text")).alias("label"))
+    folded = _styled(spark, d).select(T.fold(F.col("text")).alias("text")).distinct()
+    return folded.select("text", S.match_label(F.col("text")).alias("label"))
 
 
 @query(None)
@@ -511,10 +491,19 @@ def content_duplicates(spark, d):
     return H.content_duplicates(_texts(spark, d)).select("hash", "n")
 
 
-@query("WITH n AS (SELECT 'CV_' || s_suppkey AS name FROM supplier WHERE s_suppkey % 3 = 0), m AS (SELECT coalesce(max(regexp_extract(name, '[0-9]+')::INT), 0) AS top FROM n), u AS (SELECT 'scan' || s_suppkey AS name, s_suppkey FROM supplier WHERE s_suppkey % 3 = 1) SELECT name, 'CV_' || (top + row_number() OVER (ORDER BY s_suppkey)) AS new_name FROM u, m")
+@query("""WITH s AS (SELECT CASE WHEN s_suppkey % 3 = 0 THEN 'CV_' || s_suppkey ELSE 'scan' || s_suppkey END AS name, s_suppkey FROM supplier),
+m AS (SELECT coalesce(max(s_suppkey), 0) AS top FROM s WHERE s_suppkey % 3 = 0)
+SELECT name, 'CV_' || (top + row_number() OVER (ORDER BY s_suppkey)) AS new_name FROM s, m WHERE s_suppkey % 3 > 0""")
 def rename_plan(spark, d):
-    name = F.when(F.col("s_suppkey") % 3 == 0, F.concat(F.lit("CV_"), F.col("s_suppkey").cast("string"))).otherwise(F.concat(F.lit("scan"), F.col("s_suppkey").cast("string")))
-    return H.plan_renames(t(spark, d, "supplier").filter("s_suppkey % 3 < 2").select(name.alias("name")), "CV")
+    key = F.col("s_suppkey").cast("string")
+    name = F.when(F.col("s_suppkey") % 3 == 0, F.concat(F.lit("CV_"), key)).otherwise(F.concat(F.lit("scan"), key))
+    return H.plan_renames(t(spark, d, "supplier").select(name.alias("name")), "CV")
+
+
+@query("SELECT 'scan' || s_suppkey AS name, 'CV_' || row_number() OVER (ORDER BY s_suppkey) AS new_name FROM supplier")
+def rename_all(spark, d):
+    names = t(spark, d, "supplier").select(F.concat(F.lit("scan"), F.col("s_suppkey").cast("string")).alias("name"))
+    return H.plan_renames(names, "CV", renumber=True)
 
 
 _ORDERED = "k AS (SELECT DISTINCT o_custkey AS k FROM orders), o AS (SELECT k, row_number() OVER (ORDER BY sha256('7:' || k), k) AS i, count(*) OVER () AS n FROM k)"
@@ -592,12 +581,6 @@ def text_tokens(spark, d):
     return t(spark, d, "documents").select("doc_id", F.size(N.word_tokens(F.col("text"))).cast("long").alias("n"))
 
 
-@query(None)
-def chunk_pack(spark, d):
-    rows = t(spark, d, "documents").withColumn("pieces", F.transform(N.word_tokens(F.col("text")), lambda w: F.ceil(F.length(w) / 4).cast("int")))
-    return rows.select("doc_id", F.size("pieces").alias("n_words"), (F.coalesce(F.array_max(N.chunk_starts(62, 2)(F.col("pieces"))), F.lit(-1)) + 1).alias("n_chunks"))
-
-
 # Annotations
 
 
@@ -608,7 +591,7 @@ def latest_annotation(spark, d):
     return tasks.select("o_custkey", A.newest(F.col("annotations"))["o_orderkey"].alias("o_orderkey"))
 
 
-@query("SELECT c_custkey, coalesce(avg(l), 0) AS score FROM customer LEFT JOIN (SELECT o_custkey AS c_custkey, l_linenumber AS l FROM orders JOIN lineitem ON o_orderkey = l_orderkey) USING (c_custkey) GROUP BY c_custkey")
+@query("SELECT c_custkey, coalesce(round_even(avg(l), 4), 0) AS score FROM customer LEFT JOIN (SELECT o_custkey AS c_custkey, l_linenumber AS l FROM orders JOIN lineitem ON o_orderkey = l_orderkey) USING (c_custkey) GROUP BY c_custkey")
 def task_score(spark, d):
     results = t(spark, d, "orders").join(t(spark, d, "lineitem"), F.col("o_orderkey") == F.col("l_orderkey")).select(F.col("o_custkey").alias("c_custkey"), F.col("l_linenumber").alias("score"))
     return A.task_scores(t(spark, d, "customer"), results, "c_custkey")
@@ -620,9 +603,9 @@ def model_compare(spark, d):
     return A.model_compare(b, b.select("model", "page", "label").distinct(), b.filter("idx > 5"))
 
 
-@query("SELECT count(*) FILTER (WHERE event_id % 4 = 3) AS unknown, count(*) FILTER (WHERE event_id % 4 <> 3 AND event_id % 5 = 0) AS dropped, 0::BIGINT AS rotated, count(*) FILTER (WHERE event_id % 4 <> 3 AND event_id % 5 <> 0) AS written FROM events")
+@query("SELECT count(*) FILTER (WHERE event_id % 4 = 3) AS unknown, count(*) FILTER (WHERE event_id % 4 <> 3 AND event_id % 5 = 0) AS dropped, count(*) FILTER (WHERE event_id % 7 = 0) AS rotated, count(*) FILTER (WHERE event_id % 4 <> 3 AND event_id % 5 <> 0) AS written FROM events")
 def box_counters(spark, d):
-    value = F.struct(F.lit(10.0).alias("x"), F.lit(20.0).alias("y"), F.when(F.col("event_id") % 5 == 0, 0.0).otherwise(5.0).alias("width"), F.lit(5.0).alias("height"), F.lit(0.0).alias("rotation"), F.array(F.concat(F.lit("c"), (F.col("event_id") % 4).cast("string"))).alias("rectanglelabels"))
+    value = F.struct(F.lit(10.0).alias("x"), F.lit(20.0).alias("y"), F.when(F.col("event_id") % 5 == 0, 0.0).otherwise(5.0).alias("width"), F.lit(5.0).alias("height"), F.when(F.col("event_id") % 7 == 0, 90.0).otherwise(0.0).alias("rotation"), F.array(F.concat(F.lit("c"), (F.col("event_id") % 4).cast("string"))).alias("rectanglelabels"))
     result = F.array(F.struct(F.lit("rectanglelabels").alias("type"), F.lit(0).alias("item_index"), value.alias("value")))
     note = F.array(F.struct(F.lit(False).alias("was_cancelled"), F.lit("a").alias("created_at"), F.lit("b").alias("updated_at"), result.alias("result")))
     tasks = t(spark, d, "events").select(F.col("event_id").alias("id"), note.alias("annotations"))

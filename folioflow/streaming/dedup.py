@@ -9,6 +9,6 @@ from ..functions import text as T
 
 
 def new_contents(stream: DataFrame, at: str = "ts", text: str = "text", delay: str = "1 hour") -> DataFrame:
-    """Rows whose normalised content wasn't seen within the watermark; rows without content pass as they are distinct by nothing."""
+    """Rows whose normalised content wasn't seen within the watermark, with content_hash; rows without content are left out."""
     hashed = stream.withColumn("content_hash", T.content_hash(F.col(text))).filter("content_hash IS NOT NULL")
     return hashed.withWatermark(at, delay).dropDuplicatesWithinWatermark(["content_hash"])
