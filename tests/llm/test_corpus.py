@@ -188,7 +188,7 @@ def test_simhash_groups(spark):
 @pytest.mark.parametrize("wide", [8, 0])
 def test_near_duplicates_of_the_pipeline(spark, wide, monkeypatch):
     monkeypatch.setattr(jaccard, "WIDE", wide)  # 0: by leaders first
-    monkeypatch.setattr(jaccard, "SAMPLE", 20)
+    monkeypatch.setattr(jaccard, "SAMPLED", 2)
     rng, texts = random.Random(5), [None, "", " ", "one", "One"]
     passage = " ".join(f"p{i}" for i in range(20))
     for base in range(12):
