@@ -13,7 +13,7 @@ six tenths or more of what isn't common, so all of the first FEW differ with a c
 
 A candidate's bottom-k sketches (the ``SKETCH`` least shingles) are compared before its whole sets: where two sets at four
 fifths would show under ``SHOWN`` common ones among the SKETCH least of both with a chance of 1e-11, it goes. Sets smaller
-than a sketch are their own sketch, so nothing is left to chance there. What remains has its whole sets compared.
+than a sketch are their own sketch, so nothing is left to chance there, and little is left to compare. What remains has its whole sets compared.
 
 Texts with equal sets are one row throughout. Sets that share their least shingles are compared with one of them before all
 others, and where sets that share shingles are many, with a few leaders; then only sets of different components are, so
@@ -43,7 +43,7 @@ SHINGLE, SAMPLED, COMMON, MOST = 5, 8, 4, 2_000_000
 #: Pairs a row from which sets are first compared with leaders, the share of pairs that may be left for another round, and
 #: the random orders by which a run's leaders are chosen.
 WIDE, SHRINKS, ORDERS = 40, 0.7, 8
-FEW, SKETCH, SHOWN = 32, 64, 26
+FEW, SKETCH, SHOWN = 32, 160, 88
 #: Rows up to which the names of texts to be compared are broadcast, so that the other texts aren't moved.
 BROADCAST_ROWS = 300_000
 
@@ -134,8 +134,8 @@ def sketches_allow(x: bytes, y: bytes) -> bool:
     """Whether two sets may reach four fifths, by the least shingles of each (upper halves of their hashes)."""
     a, b = np.frombuffer(x, np.uint32), np.frombuffer(y, np.uint32)
     both = np.sort(np.concatenate([a, b]), kind="stable")
-    if len(a) < SKETCH and len(b) < SKETCH:
-        return True
+    if len(a) < SKETCH and len(b) < SKETCH:  # both are whole
+        return 9 * int((both[1:] == both[:-1]).sum()) >= 4 * len(both)
     once = np.concatenate([[True], both[1:] != both[:-1]])
     twice = np.concatenate([both[1:] == both[:-1], [False]])
     return int(twice[np.flatnonzero(once)[:SKETCH]].sum()) >= SHOWN
