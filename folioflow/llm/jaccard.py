@@ -44,6 +44,9 @@ SHINGLE, SAMPLED, COMMON, MOST = 5, 8, 4, 2_000_000
 #: the random orders by which a run's leaders are chosen.
 WIDE, SHRINKS, ORDERS = 40, 0.7, 8
 FEW, SKETCH, SHOWN = 32, 160, 88
+#: Words of 64 bits for the marks of a set, which are compared inside the join.
+MARKS = 8
+_MARKS = [f"m{i}" for i in range(MARKS)]
 #: Rows up to which the names of texts to be compared are broadcast, so that the other texts aren't moved.
 BROADCAST_ROWS = 300_000
 
@@ -86,10 +89,10 @@ def common_shingles(docs: DataFrame, text: str, n: int) -> np.ndarray:
 
 
 def marks(own: np.ndarray) -> np.ndarray:
-    """Two words of 64 bits, in which each shingle sets one of the 128 bits by its hash."""
-    bits = np.zeros(128, np.uint8)
-    bits[(own & np.uint64(127)).astype(np.int64)] = 1
-    return np.packbits(bits, bitorder="little").view(np.uint64)
+    """MARKS words of 64 bits, in which each shingle sets one of all bits by its hash."""
+    bits = np.zeros(64 * MARKS, np.uint8)
+    bits[(own % np.uint64(64 * MARKS)).astype(np.int64)] = 1
+    return np.packbits(bits, bitorder="little").view(np.int64)
 
 
 def _digest(a: np.ndarray) -> bytes:
@@ -100,7 +103,7 @@ def coded(docs: DataFrame, columns: list[str], text: str, n: int) -> DataFrame:
     """columns, digest of the set, its size, its fingerprint, its sketch and its prefix."""
     sent = docs.sparkSession.sparkContext.broadcast(common_shingles(docs, text, n))
 
-    @F.pandas_udf("digest binary, size long, fp long, low long, high long, sketch binary, common binary, prefix array<long>")
+    @F.pandas_udf("digest binary, size long, fp long, marks array<long>, sketch binary, common binary, prefix array<long>")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for b in batches:
             hashes = [simhash.shingle_hashes(t, n) for t in b.tolist()]
@@ -110,7 +113,7 @@ def coded(docs: DataFrame, columns: list[str], text: str, n: int) -> DataFrame:
                 "digest": [_digest(s) for s in sets],
                 "size": [len(s) for s in sets],
                 "fp": np.array([simhash.majority(h) for h in hashes], np.uint64).view(np.int64),
-                **dict(zip(("low", "high"), np.array([marks(s) for s in sets], np.uint64).reshape(-1, 2).view(np.int64).T, strict=True)),
+                "marks": [marks(s) for s in sets],
                 "sketch": [(s[:SKETCH] >> np.uint64(32)).astype("<u4").tobytes() for s in sets],
                 "common": [_digest(c)[:12] if 2 * len(c) > len(s) else None for s, (_, c) in zip(sets, first, strict=True)],
                 "prefix": [p.view(np.int64) for p, _ in first],
@@ -120,12 +123,13 @@ def coded(docs: DataFrame, columns: list[str], text: str, n: int) -> DataFrame:
 
 
 def _may_reach(a: str, b: str, ahead: Column | None = None) -> Column:
-    """Whether sets may reach four fifths by size and marks (columns s, m, n with a suffix), and by what stands ahead of both.
+    """Whether sets may reach four fifths by size and marks (columns s, m0 .. with a suffix), and by what stands ahead of both.
 
     A mark that one set has and the other lacks is a shingle, at least, that isn't common.
     """
     col = lambda x, of: F.col(f"{x}{of}")
-    left = lambda x, y: col("s", x) - F.bit_count(col("m", x).bitwiseAND(F.bitwise_not(col("m", y)))) - F.bit_count(col("n", x).bitwiseAND(F.bitwise_not(col("n", y))))
+    lacks = lambda m, x, y: F.bit_count(col(m, x).bitwiseAND(F.bitwise_not(col(m, y))))
+    left = lambda x, y: col("s", x) - sum((lacks(m, x, y) for m in _MARKS), F.lit(0))
     most = F.least(left(a, b), left(b, a), *([] if ahead is None else [ahead]))
     return (9 * most >= 4 * (col("s", a) + col("s", b))) & (5 * F.least(col("s", a), col("s", b)) >= 4 * F.greatest(col("s", a), col("s", b)))
 
@@ -197,7 +201,7 @@ def by_sketch(sets: Sets, found: DataFrame) -> DataFrame:
     return found.unionByName(new)
 
 
-def _in_runs(shared: DataFrame, found: DataFrame) -> tuple[DataFrame, float, float]:
+def _in_runs(shared: DataFrame, found: DataFrame, marked: DataFrame) -> tuple[DataFrame, float, float]:
     """Rows of runs (equal h) that hold several components, each with its root and whether it is of the run's largest
     component; the rows' number, and that of the pairs to be met: all of the others with the whole run."""
     roots = components(found).withColumnRenamed("node", "id")
@@ -206,7 +210,8 @@ def _in_runs(shared: DataFrame, found: DataFrame) -> tuple[DataFrame, float, flo
     runs = sizes.groupBy("h").agg(F.sum("n").alias("n"), F.max_by("root", F.struct("n", "root")).alias("main"), F.max("n").alias("most"), F.count(F.lit(1)).alias("roots"))
     runs = stored(runs.filter("roots > 1"))
     total = runs.agg(F.sum("n").alias("rows"), F.sum(F.col("n").cast("double") * (F.col("n") - F.col("most"))).alias("pairs")).first()
-    return stored(named.join(runs.select("h", "main"), "h").withColumn("other", F.col("root") != F.col("main")).drop("main")), total["rows"] or 0, total["pairs"] or 0
+    mixed = named.join(runs.select("h", "main"), "h").withColumn("other", F.col("root") != F.col("main")).drop("main")
+    return stored(mixed.join(marked, "id")), total["rows"] or 0, total["pairs"] or 0
 
 
 def links(sets: Sets, found: DataFrame) -> DataFrame:
@@ -215,24 +220,25 @@ def links(sets: Sets, found: DataFrame) -> DataFrame:
     While there are many pairs to be met, and joining components still makes them fewer, each row is held against a
     few leaders only; then all that is left are met.
     """
-    rows = sets.distinct.select(F.col(sets.row).alias("id"), F.col("size").alias("s"), F.col("low").alias("m"), F.col("high").alias("n"), F.posexplode("prefix").alias("pos", "h"))
+    rows = sets.distinct.select(F.col(sets.row).alias("id"), F.col("size").alias("s"), F.posexplode("prefix").alias("pos", "h"))
+    marked = sets.distinct.select(F.col(sets.row).alias("id"), *[F.get("marks", F.lit(i)).alias(m) for i, m in enumerate(_MARKS)])
     shared = stored(rows.join(rows.groupBy("h").agg(F.count(F.lit(1)).alias("times")).filter("times > 1").select("h"), "h"))
-    now, n_rows, n_pairs = _in_runs(shared, found)
+    now, n_rows, n_pairs = _in_runs(shared, found, marked)
     tried, before = 0, float("inf")
     while n_pairs > WIDE * n_rows and n_pairs < SHRINKS * before:
         tried, before = tried + 1, n_pairs
-        of_lead = [F.col(c).alias(f"{c}2") for c in ("id", "root", "s", "m", "n")]
+        of_lead = [F.col(c).alias(f"{c}2") for c in ("id", "root", "s", *_MARKS)]
         # each order is the same in every run, so that rows alike get one leader by it
         firsts = [F.min(F.struct(F.xxhash64(F.lit(tried * ORDERS + i), "id").alias("x"), F.lit(i).alias("i"), *of_lead)) for i in range(ORDERS)]
         lead = now.groupBy("h").agg(F.array(*firsts).alias("leads"))
-        met = now.join(lead, "h").select("id", "root", "s", "m", "n", F.explode("leads").alias("l")).select("*", "l.*")
+        met = now.join(lead, "h").select("id", "root", "s", *_MARKS, F.explode("leads").alias("l")).select("*", "l.*")
         met = met.filter((F.col("root") != F.col("root2")) & _may_reach("", "2"))
         # of a row's leaders by one order, the one that it shares the most first shingles with
         often = met.groupBy("id", "i", "id2").agg(F.count(F.lit(1)).alias("k"))
         one = often.groupBy("id", "i").agg(F.max_by("id2", F.struct("k", "id2")).alias("lead"))
         found = found.unionByName(sets.similar(one.select(F.least("id", "lead").alias("u"), F.greatest("id", "lead").alias("v")).distinct()))
-        now, n_rows, n_pairs = _in_runs(shared, found)
-    side = lambda k: [F.col(c).alias(f"{c}{k}") for c in ("id", "root", "s", "m", "n", "pos")]
+        now, n_rows, n_pairs = _in_runs(shared, found, marked)
+    side = lambda k: [F.col(c).alias(f"{c}{k}") for c in ("id", "root", "s", *_MARKS, "pos")]
     a, b = now.filter("other").select("h", *side(1)), now.select("h", *side(2), "other")
     once = (F.col("id1") < F.col("id2")) | ~F.col("other")
     # all that two sets have in common stands at or behind their first common shingle
@@ -245,7 +251,7 @@ def groups(docs: DataFrame, row: str, name: str, text: str = "text", n: int = SH
     """row (a distinct number), name and component_id, the smallest name of the row's group."""
     every = stored(coded(docs, [row, name], text, n))
     least = stored(every.groupBy("digest").agg(F.min(row).alias(row), F.min(name).alias("least")))
-    distinct = stored(every.select(row, "size", "fp", "low", "high", "sketch", "common", "prefix").join(least.select(row), row, "left_semi"))
+    distinct = stored(every.select(row, "size", "fp", "marks", "sketch", "common", "prefix").join(least.select(row), row, "left_semi"))
     sets = Sets(distinct, docs, row, text, n)
     roots = components(links(sets, by_sketch(sets, by_fingerprint(sets))))
     named = stored(least.select("digest", "least", F.col(row).alias("node")).join(roots, "node", "left").select("digest", "least", F.coalesce("root", "node").alias("root")))
