@@ -211,7 +211,7 @@ def _in_runs(shared: DataFrame, found: DataFrame, marked: DataFrame) -> tuple[Da
     runs = stored(runs.filter("roots > 1"))
     total = runs.agg(F.sum("n").alias("rows"), F.sum(F.col("n").cast("double") * (F.col("n") - F.col("most"))).alias("pairs")).first()
     mixed = named.join(runs.select("h", "main"), "h").withColumn("other", F.col("root") != F.col("main")).drop("main")
-    return stored(mixed.join(marked, "id")), total["rows"] or 0, total["pairs"] or 0
+    return stored(mixed.join(marked.drop("s"), "id")), total["rows"] or 0, total["pairs"] or 0
 
 
 def links(sets: Sets, found: DataFrame) -> DataFrame:
@@ -221,22 +221,25 @@ def links(sets: Sets, found: DataFrame) -> DataFrame:
     few leaders only; then all that is left are met.
     """
     rows = sets.distinct.select(F.col(sets.row).alias("id"), F.col("size").alias("s"), F.posexplode("prefix").alias("pos", "h"))
-    marked = sets.distinct.select(F.col(sets.row).alias("id"), *[F.get("marks", F.lit(i)).alias(m) for i, m in enumerate(_MARKS)])
+    marked = sets.distinct.select(F.col(sets.row).alias("id"), F.col("size").alias("s"), *[F.get("marks", F.lit(i)).alias(m) for i, m in enumerate(_MARKS)])
     shared = stored(rows.join(rows.groupBy("h").agg(F.count(F.lit(1)).alias("times")).filter("times > 1").select("h"), "h"))
     now, n_rows, n_pairs = _in_runs(shared, found, marked)
     tried, before = 0, float("inf")
     while n_pairs > WIDE * n_rows and n_pairs < SHRINKS * before:
         tried, before = tried + 1, n_pairs
-        of_lead = [F.col(c).alias(f"{c}2") for c in ("id", "root", "s", *_MARKS)]
+        of_lead = [F.col(c).alias(f"{c}2") for c in ("id", "root", "s")]  # no marks: they would be in every partial result
         # each order is the same in every run, so that rows alike get one leader by it
         firsts = [F.min(F.struct(F.xxhash64(F.lit(tried * ORDERS + i), "id").alias("x"), F.lit(i).alias("i"), *of_lead)) for i in range(ORDERS)]
         lead = now.groupBy("h").agg(F.array(*firsts).alias("leads"))
-        met = now.join(lead, "h").select("id", "root", "s", *_MARKS, F.explode("leads").alias("l")).select("*", "l.*")
-        met = met.filter((F.col("root") != F.col("root2")) & _may_reach("", "2"))
+        met = now.select("h", "id", "root", "s").join(lead, "h").select("id", "root", "s", F.explode("leads").alias("l")).select("*", "l.*")
+        met = met.filter((F.col("root") != F.col("root2")) & (5 * F.least("s", "s2") >= 4 * F.greatest("s", "s2")))
         # of a row's leaders by one order, the one that it shares the most first shingles with
         often = met.groupBy("id", "i", "id2").agg(F.count(F.lit(1)).alias("k"))
         one = often.groupBy("id", "i").agg(F.max_by("id2", F.struct("k", "id2")).alias("lead"))
-        found = found.unionByName(sets.similar(one.select(F.least("id", "lead").alias("u"), F.greatest("id", "lead").alias("v")).distinct()))
+        pairs = one.select(F.least("id", "lead").alias("id1"), F.greatest("id", "lead").alias("id2")).distinct()
+        of = lambda k: marked.select(*[F.col(c).alias(f"{c}{k}") for c in ("id", "s", *_MARKS)])
+        likely = pairs.join(of(1), "id1").join(of(2), "id2").filter(_may_reach("1", "2"))
+        found = found.unionByName(sets.similar(likely.select(F.col("id1").alias("u"), F.col("id2").alias("v"))))
         now, n_rows, n_pairs = _in_runs(shared, found, marked)
     side = lambda k: [F.col(c).alias(f"{c}{k}") for c in ("id", "root", "s", *_MARKS, "pos")]
     a, b = now.filter("other").select("h", *side(1)), now.select("h", *side(2), "other")
