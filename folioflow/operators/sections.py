@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import difflib
-from collections.abc import Iterator, Sequence
+import re
+from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -93,16 +94,27 @@ def match_exact(folded: Column, keywords: Keywords = K.KEYWORDS) -> Column:
     return F.when(folded == "", None).otherwise(F.coalesce(spaced, F.when((F.size(hits) > 0) & accepted, best["label"])))
 
 
-def has_keyword(folded: Column, keywords: Keywords = K.KEYWORDS) -> Column:
-    padded = F.concat(F.lit(" "), folded, F.lit(" "))
-    return F.exists(F.array(*[F.lit(f" {k} ") for k, _ in keywords]), lambda k: F.contains(padded, k))
+def keyword_free(folded: Column, most: int, keywords: Keywords = K.KEYWORDS) -> Column:
+    """The text if it has one to ``most`` characters and no keyword as whole words, else an empty one."""
+    whole = "|".join(re.escape(k) for k, _ in keywords)
+    none = rf"(?!.*(?:^| )(?:{whole})(?: |\z))" if keywords else ""
+    return F.regexp_extract(folded, rf"(?s)^(?=.{{1,{most}}}\z){none}.*\z", 0)
 
 
 def closest_keyword(t: str, least: float = K.HEADING_FUZZY_RATIO, keywords: Keywords = K.KEYWORDS) -> str | None:
-    """The label of the most similar keyword (Ratcliff-Obershelp), if similar enough; the first on ties."""
-    ratios = [difflib.SequenceMatcher(None, t, k).ratio() for k, _ in keywords]
-    top = max(ratios, default=0.0)
-    return keywords[ratios.index(top)][1] if ratios and top >= least else None
+    """The label of the most similar keyword (Ratcliff-Obershelp), if similar enough; the first on ties.
+
+    A ratio is at most that of the shorter text's length, and of the characters in common; a keyword that can't reach ``least`` so isn't compared.
+    """
+    top, best = 0.0, None
+    for k, label in keywords:
+        n = len(t) + len(k)
+        if n and 2.0 * min(len(t), len(k)) / n < least:
+            continue
+        pair = difflib.SequenceMatcher(None, t, k)
+        if pair.quick_ratio() >= least and (ratio := pair.ratio()) >= least and (best is None or ratio > top):
+            top, best = ratio, label
+    return best
 
 
 def match_fuzzy(folded: Column, keywords: Keywords = K.KEYWORDS) -> Column:
@@ -114,10 +126,19 @@ def match_fuzzy(folded: Column, keywords: Keywords = K.KEYWORDS) -> Column:
     return run(folded)
 
 
+def once(c: Column, f: Callable[[Column], Column]) -> Column:
+    """f of a column that is computed, and named in the plan, once, however often f uses it."""
+    return F.get(F.transform(F.array(c), f), F.lit(0))
+
+
 def match_label(folded: Column, keywords: Keywords = K.KEYWORDS) -> Column:
-    """Exact keywords first; only a text without any keyword is compared by similarity."""
-    ask = F.when(~has_keyword(folded, keywords) & (folded != ""), folded)
-    return F.coalesce(match_exact(folded, keywords), match_fuzzy(ask, keywords))
+    """Exact keywords first; only a text without any keyword is compared by similarity, and no text that is too long for it.
+
+    Over an aggregate, Spark carries a copy of the text past the Python worker for each time that the expression names it.
+    """
+    longest = max((len(k) for k, _ in keywords), default=0)
+    most = int(longest * (2 / K.HEADING_FUZZY_RATIO - 1)) + 1
+    return F.coalesce(once(folded, lambda t: match_exact(t, keywords)), match_fuzzy(keyword_free(folded, most, keywords), keywords))
 
 
 def style(text: Column, size: Column, bold: Column) -> Column:
