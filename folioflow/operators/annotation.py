@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from xml.etree import ElementTree
 from xml.sax.saxutils import quoteattr
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -141,34 +143,37 @@ def build_label_config(classes: Sequence[str], multipage: bool = True, name: str
     return f"<View><Image name={q(to)} {source}/><RectangleLabels name={q(name)} toName={q(to)}>{labels}</RectangleLabels></View>"
 
 
+def read_label_config(xml: str) -> dict[str, str | bool | list[str] | None]:
+    """from_name, to_name, value_key, multipage and labels of one labelling configuration; wrong ones are errors."""
+    root = ElementTree.fromstring(xml)
+    rect = next(root.iter("RectangleLabels"), None)
+    if rect is None:
+        raise ValueError("the labelling configuration has no RectangleLabels")
+    to = rect.get("toName", "").split(",")[0].strip()
+    image = next((e for e in root.iter("Image") if e.get("name") == to), None)
+    if image is None:
+        raise ValueError(f"no Image is named {to}")
+    many = image.get("valueList")
+    labels = [v for e in rect.iter("Label") if (v := e.get("value"))]
+    return {"from_name": rect.get("name"), "to_name": to, "value_key": (many or image.get("value") or "").lstrip("$"), "multipage": bool(many), "labels": labels}
+
+
 def parse_label_config(xml: Column) -> Column:
-    """from_name, to_name, value key, multipage and labels of a labelling configuration.
+    """from_name, to_name, value key, multipage and labels of a labelling configuration; null for null.
 
-    One without RectangleLabels, or whose image it doesn't name, is an error.
+    One without RectangleLabels, or whose image it doesn't name, is an error. Rows share few configurations: each is parsed once a batch.
     """
-    one = lambda p: F.get(F.xpath(xml, F.lit(p)), F.lit(0))
-    to = F.trim(F.get(F.split(F.coalesce(one("(//RectangleLabels)[1]/@toName"), F.lit("")), ","), F.lit(0)))
-    names = F.xpath(xml, F.lit("//Image/@name"))
-    place = F.array_position(names, to)
-    # one attribute of each image, in order: the n-th image is asked for by its name's place
-    def of_image(attribute: str) -> Column:
-        found = F.lit(None).cast("string")
-        for i in range(8, 0, -1):
-            found = F.when(place == i, one(f"(//Image[@name])[{i}]/@{attribute}")).otherwise(found)
-        return found
-
-    many = F.nullif(of_image("valueList"), F.lit(""))
-    key = F.regexp_replace(F.coalesce(many, of_image("value"), F.lit("")), r"^\$+", "")
-    tags = F.xpath_int(xml, F.lit("count(//RectangleLabels)"))
-    result = F.struct(
-        one("(//RectangleLabels)[1]/@name").alias("from_name"), to.alias("to_name"), key.alias("value_key"), many.isNotNull().alias("multipage"),
-        F.filter(F.xpath(xml, F.lit("(//RectangleLabels)[1]//Label/@value")), lambda v: v != "").alias("labels"),
-    )
-    wrong = F.when(tags == 0, F.lit("the labelling configuration has no RectangleLabels")).when(place == 0, F.concat(F.lit("no Image is named "), to))
-    return F.when(wrong.isNotNull(), F.raise_error(wrong).cast(_CONFIG)).otherwise(result)
+
+    @F.arrow_udf(_CONFIG)
+    def run(texts: pa.Array) -> pa.Array:
+        coded = texts.dictionary_encode()
+        return pa.array([read_label_config(x) for x in coded.dictionary.to_pylist()], _ARROW_CONFIG).take(coded.indices)
+
+    return run(xml)
 
 
 _CONFIG = "struct<from_name:string,to_name:string,value_key:string,multipage:boolean,labels:array<string>>"
+_ARROW_CONFIG = pa.struct([("from_name", pa.string()), ("to_name", pa.string()), ("value_key", pa.string()), ("multipage", pa.bool_()), ("labels", pa.list_(pa.string()))])
 
 
 def model_compare(regions: DataFrame, sections: DataFrame, leftover: DataFrame) -> DataFrame:
