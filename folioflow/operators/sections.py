@@ -81,24 +81,44 @@ def load_keywords(labels: dict[str, Sequence[str]], spark: SparkSession) -> Keyw
     return [(r["k"], r["label"]) for r in folded.orderBy("i").collect()]  # as many rows as the dictionary has
 
 
+def once(c: Column, f: Callable[[Column], Column]) -> Column:
+    """f of a column that is computed, and named in the plan, once, however often f uses it."""
+    return F.get(F.transform(F.array(c), f), F.lit(0))
+
+
+def whole_keyword(keywords: Keywords) -> str:
+    """A pattern of any keyword as whole words, keywords of one first letter together."""
+    by_first: dict[str, list[str]] = {}
+    for k, _ in keywords:
+        by_first.setdefault(k[:1], []).append(re.escape(k[1:]))
+    return "(?:^| )(?:%s)(?: |\\z)" % "|".join(f"{re.escape(c)}(?:{'|'.join(rest)})" for c, rest in by_first.items())
+
+
 def match_exact(folded: Column, keywords: Keywords = K.KEYWORDS) -> Column:
     """The label by whole keywords, NULL if none is accepted; the keywords are literals, so no join is needed."""
-    hits = F.array(*[F.struct(F.locate(f" {k} ", F.concat(F.lit(" "), folded, F.lit(" "))).alias("at"), F.lit(-len(k)).alias("n"), F.lit(k).alias("k"), F.lit(label).alias("label")) for k, label in keywords])
-    hits = F.filter(hits, lambda h: h["at"] > 0)
-    best, words = F.array_min(hits), T.tokens(folded)
-    starts = (best["at"] == 1) & (F.size(words) <= F.size(T.tokens(best["k"])) + 2)
-    covered = F.concat(F.flatten(F.transform(hits, lambda h: F.split(h["k"], " "))), F.array(*map(F.lit, K.CONNECTORS)))
-    accepted = starts | (F.size(F.array_except(words, covered)) == 0)
     compact = F.create_map(*[F.lit(x) for k, label in {k.replace(" ", ""): lab for k, lab in reversed(keywords)}.items() for x in (k, label)])
-    spaced = F.when(T.letter_spaced(folded), F.try_element_at(compact, F.replace(folded, F.lit(" "), F.lit(""))))
-    return F.when(folded == "", None).otherwise(F.coalesce(spaced, F.when((F.size(hits) > 0) & accepted, best["label"])))
+
+    def accepted(t: Column, hits: Column) -> Column:
+        best, words = F.array_min(hits), T.tokens(t)
+        starts = (best["at"] == 1) & (F.size(words) <= F.size(T.tokens(best["k"])) + 2)
+        covered = F.concat(F.flatten(F.transform(hits, lambda h: F.split(h["k"], " "))), F.array(*map(F.lit, K.CONNECTORS)))
+        return F.when(starts | (F.size(F.array_except(words, covered)) == 0), best["label"])
+
+    def whole(t: Column) -> Column:
+        places = lambda p: F.array(*[F.struct(F.locate(f" {k} ", p).alias("at"), F.lit(-len(k)).alias("n"), F.lit(k).alias("k"), F.lit(label).alias("label")) for k, label in keywords])
+        hits = once(F.concat(F.lit(" "), t, F.lit(" ")), lambda p: F.filter(places(p), lambda h: h["at"] > 0))
+        return F.when(t.rlike(whole_keyword(keywords)), once(hits, lambda h: accepted(t, h)))
+
+    def spaced(t: Column) -> Column:
+        glued = F.try_element_at(compact, F.replace(t, F.lit(" "), F.lit("")))
+        return once(glued, lambda label: F.when(label.isNotNull(), F.when(T.letter_spaced(t), label)))
+
+    return once(folded, lambda t: F.when(t != "", F.coalesce(spaced(t), whole(t))))
 
 
 def keyword_free(folded: Column, most: int, keywords: Keywords = K.KEYWORDS) -> Column:
     """The text if it has one to ``most`` characters and no keyword as whole words, else an empty one."""
-    whole = "|".join(re.escape(k) for k, _ in keywords)
-    none = rf"(?!.*(?:^| )(?:{whole})(?: |\z))" if keywords else ""
-    return F.regexp_extract(folded, rf"(?s)^(?=.{{1,{most}}}\z){none}.*\z", 0)
+    return F.regexp_extract(folded, rf"(?s)^(?=.{{1,{most}}}\z)(?!.*{whole_keyword(keywords)}).*\z", 0)
 
 
 def closest_keyword(t: str, least: float = K.HEADING_FUZZY_RATIO, keywords: Keywords = K.KEYWORDS) -> str | None:
@@ -126,11 +146,6 @@ def match_fuzzy(folded: Column, keywords: Keywords = K.KEYWORDS) -> Column:
     return run(folded)
 
 
-def once(c: Column, f: Callable[[Column], Column]) -> Column:
-    """f of a column that is computed, and named in the plan, once, however often f uses it."""
-    return F.get(F.transform(F.array(c), f), F.lit(0))
-
-
 def match_label(folded: Column, keywords: Keywords = K.KEYWORDS) -> Column:
     """Exact keywords first; only a text without any keyword is compared by similarity, and no text that is too long for it.
 
@@ -138,7 +153,7 @@ def match_label(folded: Column, keywords: Keywords = K.KEYWORDS) -> Column:
     """
     longest = max((len(k) for k, _ in keywords), default=0)
     most = int(longest * (2 / K.HEADING_FUZZY_RATIO - 1)) + 1
-    return F.coalesce(once(folded, lambda t: match_exact(t, keywords)), match_fuzzy(keyword_free(folded, most, keywords), keywords))
+    return F.coalesce(match_exact(folded, keywords), match_fuzzy(keyword_free(folded, most, keywords), keywords))
 
 
 def style(text: Column, size: Column, bold: Column) -> Column:
